@@ -2,10 +2,14 @@
 
 Sets are the distinct word shingles of a text.  Sizes fall in bands [l, r] with r = floor(l / threshold); two sets that
 reach the threshold lie in one band or in neighbouring ones, and their symmetric difference is at most
-k = floor(2 (1 - t) / (1 + t) r) for the upper band's r.  The hashed feature domain is cut into k + 1 parts (PartEnum
-with n2 = 1, whose only subset to enumerate is each part itself): at most k of them can differ, so such sets agree on one
-part at least, and a hash of a part's content is a signature.  Every set gets the signatures of its own band and of the
-next one.
+k = floor(2 (1 - t) / (1 + t) r) for the upper band's r.  The hashed feature domain is cut into k + 1 + 2 m parts (PartEnum
+with n2 = 1, whose only subset to enumerate is each part itself): at most k of them can differ, so such sets agree on
+2 m + 1 parts at least, and a hash of a part's content is a signature.  Each set leaves out the signatures of its m
+emptiest parts, which would meet by chance; as the two sets leave out 2 m at most, one agreement always remains.  Every
+set gets the signatures of its own band and of the next one.
+
+Candidates are thinned by a parity sketch of each set (the bits in which two sketches differ are never more than the
+features in which the sets do) and then checked on the whole sets.
 
 Defined results: null, empty and blank texts have no shingles, are linked with nothing and are their own component;
 texts with fewer words than a shingle have the whole sequence as their one shingle; repeated rows and equal texts share a
@@ -30,7 +34,9 @@ from lexispark.llm.graph import components
 SHINGLE = 5
 THRESHOLD = 80
 #: Pivots that a signature's group takes in one round after the first.
-PIVOTS = 32
+PIVOTS = 64
+#: Bits of a parity sketch.
+SKETCH = 2048
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -88,10 +94,13 @@ class Bands:
         i = int(np.searchsorted(self.right, size))
         return i
 
-    def parts(self, band: int) -> int:
+    def parts(self, band: int) -> tuple[int, int]:
+        """(parts, parts left out)"""
         while len(self.right) <= band:
             self.of(self.right[-1] + 1)
-        return math.floor(2 * (1 - self.t) / (1 + self.t) * self.right[band]) + 1
+        k = math.floor(2 * (1 - self.t) / (1 + self.t) * self.right[band])
+        m = (k + 6) // 12
+        return k + 1 + 2 * m, m
 
 
 def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
@@ -100,23 +109,32 @@ def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
     at = bands.of(len(s))
     place, low, high = mix(s ^ _STEP), (s & np.uint64(0xFFFFFFFF)).astype(np.float64), (s >> np.uint64(32)).astype(np.float64)
     for band in (at, at + 1):
-        n = bands.parts(band)
+        n, less = bands.parts(band)
         part = (place % np.uint64(n)).astype(np.int64)
         a = np.bincount(part, low, n).astype(np.uint64)
         b = np.bincount(part, high, n).astype(np.uint64)
         c = np.bincount(part, minlength=n).astype(np.uint64)
         tag = np.uint64(band) * np.uint64(1 << 32) + np.arange(n, dtype=np.uint64)
-        out.append(mix(mix(mix(tag) + a) * _STEP + mix(b * _STEP + c)))
+        sig = mix(mix(mix(tag) + a) * _STEP + mix(b * _STEP + c))
+        out.append(sig[np.argsort(c, kind="stable")[less:]])
     return np.concatenate(out)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    bits = np.bincount((mix(s + _STEP) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
 def _sizes(width: int):
     def run(batches):
         for batch in batches:
             for i, s, n in shingle_sets(batch.column(1), width):
+                ends = np.cumsum(n)
+                sketches = [sketch(s[e - k : e]) for e, k in zip(ends, n, strict=True)]
+                names = np.where(n > 0, set_ids(s, n), 0)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, len(n)), pa.array(n, pa.int64()), pa.array(np.where(n > 0, set_ids(s, n), 0), pa.int64())],
-                    names=["doc_id", "n_shingles", "set_id"],
+                    [batch.column(0).slice(i, len(n)), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.binary())],
+                    names=["doc_id", "n_shingles", "set_id", "sketch"],
                 )
 
     return run
@@ -174,6 +192,27 @@ def _verified(percent: int):
     return run
 
 
+def _near(percent: int):
+    def run(batches):
+        for batch in batches:
+            n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            one = np.frombuffer(b"".join(batch.column("sketch_a").to_pylist()), np.uint64).reshape(len(n), -1)
+            two = np.frombuffer(b"".join(batch.column("sketch_b").to_pylist()), np.uint64).reshape(len(n), -1)
+            apart = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
+            ok = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok)], names=["a", "b", "near"])
+
+    return run
+
+
+def _candidates(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those pairs(a, b) of set ids that sizes and sketches let reach the threshold."""
+    one = sketches.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    two = sketches.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
+    return joined.mapInArrow(_near(percent), "a long, b long, near boolean").where("near").select("a", "b")
+
+
 def _check(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """pairs(a, b) of set ids -> (a, b, linked)."""
     one = sets.select(F.col("set_id").alias("a"), F.col("items").alias("items_a"))
@@ -187,15 +226,15 @@ def ngram_join(
 ) -> DataFrame:
     """docs -> (doc_id, n_shingles, set_id, component_id), links where 100 |A ∩ B| >= threshold |A ∪ B|.
 
-    Equal sets fall together first.  In every signature's group the set with the smallest id is the centre and is checked
-    with the others (as many pairs as rows).  Only groups whose members are then still in several components go on: there
-    members outside the centre's component become pivots, 32 a round, and are checked with every member of another
-    component, until no group has a pivot left; so each pair that shares a signature is either checked or known to be
-    connected, and no round writes more than 32 pairs for a row.
+    Equal sets fall together first.  In every signature's group the set with the smallest id is the centre; pairs with the
+    centre are as many as rows, and each set is checked with the first centre that its sketch allows.  Only groups whose
+    members are then still in several components go on: there members outside the smallest component become pivots, 64 a
+    round, and are checked with every member of another component, until no group has a pivot left; so each pair that
+    shares a signature is either checked or known to be connected, and no round writes more than 64 pairs for a row.
     """
     spark, docs = docs.sparkSession, docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scratch = Scratch(spark, "ngram")
-    sized = scratch.table(docs.mapInArrow(_sizes(width), "doc_id long, n_shingles long, set_id long"))
+    sized = scratch.table(docs.mapInArrow(_sizes(width), "doc_id long, n_shingles long, set_id long, sketch binary"))
     signed = docs.select("text").mapInArrow(_signed(width, threshold), "sig long, set_id long")
     group = Window.partitionBy("sig")
     shared = scratch.table(
@@ -205,31 +244,33 @@ def ngram_join(
         .select("sig", "set_id", "centre")
         .distinct()
     )
-    wanted = scratch.table(shared.select("set_id").distinct())
-    named = sized.where("n_shingles > 0").join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    sets = scratch.table(
-        docs.join(named, "doc_id").dropDuplicates(["doc_id"]).select("set_id", "text").mapInArrow(_sets(width), "set_id long, items array<long>")
-    )
-    checked = scratch.table(
-        _check(shared.where("centre <> set_id").select(F.col("centre").alias("a"), F.col("set_id").alias("b")).distinct(), sets, threshold)
-    )
+    wanted = shared.select("set_id").distinct()
+    named = sized.where("n_shingles > 0").join(wanted, "set_id", "left_semi").groupBy("set_id")
+    named = scratch.table(named.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
+    star = shared.where("centre <> set_id").select(F.col("centre").alias("a"), F.col("set_id").alias("b")).distinct()
+    star = scratch.table(_candidates(star, named, threshold).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    sets = _load(docs, named, width, scratch)
+    checked = scratch.table(_check(star, sets, threshold))
     label = components(spark, checked.where("linked").select("a", "b"), scratch)
     left = _rest(shared.select("sig", "set_id"), label, scratch)
     while not left.isEmpty():
         rank = Window.partitionBy("sig").orderBy("set_id")
         pivots = left.where("not major").withColumn("_k", F.row_number().over(rank)).where(F.col("_k") <= PIVOTS)
-        pivots = scratch.table(pivots.select("sig", F.col("set_id").alias("a"), F.col("component").alias("_ca")))
+        pivots = scratch.table(pivots.select(F.col("sig").alias("_sig"), F.col("set_id").alias("_p"), F.col("component").alias("_c")))
         pairs = (
-            left.join(pivots, "sig")
-            .where("component <> _ca")
-            .select(F.least("a", "set_id").alias("a"), F.greatest("a", "set_id").alias("b"))
+            left.join(pivots, (F.col("sig") == F.col("_sig")) & (F.col("component") != F.col("_c")))
+            .select(F.least("_p", "set_id").alias("a"), F.greatest("_p", "set_id").alias("b"))
             .distinct()
             .join(checked, ["a", "b"], "left_anti")
         )
-        checked = scratch.table(checked.unionByName(_check(pairs, sets, threshold)))
-        scratch.drop(label)
-        label = components(spark, checked.where("linked").select("a", "b"), scratch)
-        rows = left.select("sig", "set_id").join(pivots.select("sig", F.col("a").alias("set_id")), ["sig", "set_id"], "left_anti")
+        pairs = scratch.table(_candidates(pairs, named, threshold))
+        if not pairs.isEmpty():
+            checked = scratch.table(checked.unionByName(_check(pairs, sets, threshold)))
+            scratch.drop(label)
+            label = components(spark, checked.where("linked").select("a", "b"), scratch)
+        rows = left.select("sig", "set_id").join(
+            pivots.select(F.col("_sig").alias("sig"), F.col("_p").alias("set_id")), ["sig", "set_id"], "left_anti"
+        )
         left = _rest(rows, label, scratch)
     of_set = sized.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     of_set = of_set.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
@@ -241,6 +282,12 @@ def ngram_join(
     )
 
 
+def _load(docs: DataFrame, named: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+    """The whole sets that share a signature."""
+    texts = docs.join(named.select("set_id", "doc_id"), "doc_id").dropDuplicates(["doc_id"]).select("set_id", "text")
+    return scratch.table(texts.mapInArrow(_sets(width), "set_id long, items array<long>"))
+
+
 def _rest(rows: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows of the groups whose members are in several components; major: in that of the smallest member."""
     group = Window.partitionBy("sig")
