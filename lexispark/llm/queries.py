@@ -7,19 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispark.llm.langid import identify
 from lexispark.llm.ngram_join import ngram_join
+from lexispark.llm.sentencepiece import encode
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and whether decoding gave the text back."""
+    coded = encode(_documents(spark, sf_dir).select("doc_id", "text"), check_col="round_trip")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learnt from those that aren't held out."""
+    return identify(_documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links at a Jaccard similarity of 0.85 of distinct 4-word shingles."""
     return ngram_join(_documents(spark, sf_dir), threshold=85, width=4).select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op4_language_id": op4_language_id,
     "op5_ngram_join": op5_ngram_join,
 }
 
