@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexispark.llm.langid import identify
+from lexispark.llm.line_dedup import line_dedup
+from lexispark.llm.mixing import entropy_mix
 from lexispark.llm.ngram_join import ngram_join
 from lexispark.llm.sentencepiece import encode
 
@@ -32,10 +34,23 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_documents(spark, sf_dir), threshold=85, width=4).select("doc_id", "n_shingles", "component_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the lines that an earlier document has in an aligned block."""
+    return line_dedup(_documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op9_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from each document."""
+    rows = entropy_mix(_documents(spark, sf_dir))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_language_id": op4_language_id,
     "op5_ngram_join": op5_ngram_join,
+    "op6_line_dedup": op6_line_dedup,
+    "op9_entropy_mixing": op9_entropy_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
