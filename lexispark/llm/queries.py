@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexispark.llm import pii
+from lexispark.llm.fingerprints import compare_with_next
 from lexispark.llm.langid import identify
 from lexispark.llm.line_dedup import line_dedup
 from lexispark.llm.mixing import entropy_mix
@@ -24,6 +26,16 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", "round_trip")
 
 
+def op2_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of whole texts, of their edited texts, and how alike they are."""
+    return compare_with_next(_documents(spark, sf_dir))
+
+
+def op3_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in whole texts: base spans and those that bootstrapped patterns add."""
+    return pii.digest(pii.find(_documents(spark, sf_dir)))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learnt from those that aren't held out."""
     return identify(_documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
@@ -47,6 +59,8 @@ def op9_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_weighted_fingerprints": op2_weighted_fingerprints,
+    "op3_bootstrapped_pii": op3_bootstrapped_pii,
     "op4_language_id": op4_language_id,
     "op5_ngram_join": op5_ngram_join,
     "op6_line_dedup": op6_line_dedup,
