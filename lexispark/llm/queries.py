@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.llm import pii
+from lexispark.llm import pii, secrets
+from lexispark.llm.chat import format_chats
+from lexispark.llm.embedding_dedup import near_vectors
 from lexispark.llm.fingerprints import compare_with_next
 from lexispark.llm.langid import identify
 from lexispark.llm.line_dedup import line_dedup
@@ -51,6 +53,21 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between vectors of one label with a cosine of 0.93 or more, and their components."""
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in whole texts: base spans and those that the network adds."""
+    return secrets.digest(secrets.find(_documents(spark, sf_dir)))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with repaired roles, rendered."""
+    return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op9_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     rows = entropy_mix(_documents(spark, sf_dir))
@@ -64,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_ngram_join": op5_ngram_join,
     "op6_line_dedup": op6_line_dedup,
+    "op7_cover_tree": op7_cover_tree,
+    "op8_secret_scan": op8_secret_scan,
+    "op10_chat_format": op10_chat_format,
     "op9_entropy_mixing": op9_entropy_mixing,
 }
 
