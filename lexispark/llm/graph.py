@@ -19,21 +19,19 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataF
     both = scratch.table(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     label = scratch.table(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")))
     while True:
-        least = scratch.table(
-            both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("component").alias("least"))
-        )
-        lower = scratch.table(
-            label.join(least, label["node"] == least["a"]).select("node", F.least("component", "least").alias("component"))
+        least = both.join(label, both["b"] == label["node"]).groupBy("a").agg(F.min("component").alias("least"))
+        lower = label.join(least, label["node"] == least["a"]).select(
+            "node", F.col("component").alias("old"), F.least("component", "least").alias("component")
         )
+        lower = scratch.table(lower)
         up = lower.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
         jumped = scratch.table(
             lower.join(up, F.col("component") == F.col("_n"), "left").select(
-                "node", F.least("component", F.coalesce("_c", "component")).alias("component")
+                "node", "old", F.least("component", F.coalesce("_c", "component")).alias("component")
             )
         )
-        moved = jumped.join(label.withColumnRenamed("component", "_old"), "node").where("component <> _old").isEmpty()
-        scratch.drop(label, least, lower)
+        scratch.drop(label, lower)
         label = jumped
-        if moved:
+        if label.where("component <> old").isEmpty():
             scratch.drop(both)
-            return label
+            return label.select("node", "component")

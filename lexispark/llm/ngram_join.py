@@ -33,8 +33,8 @@ from lexispark.llm.graph import components
 
 SHINGLE = 5
 THRESHOLD = 80
-#: Pivots that a signature's group takes in one round after the first.
-PIVOTS = 64
+#: Pivots that a signature's group takes in one round.
+PIVOTS = 256
 #: Bits of a parity sketch.
 SKETCH = 2048
 
@@ -200,17 +200,17 @@ def _near(percent: int):
             two = np.frombuffer(b"".join(batch.column("sketch_b").to_pylist()), np.uint64).reshape(len(n), -1)
             apart = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
             ok = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok)], names=["a", "b", "near"])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("weight"), pa.array(ok)], names=["a", "b", "weight", "near"])
 
     return run
 
 
 def _candidates(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Those pairs(a, b) of set ids that sizes and sketches let reach the threshold."""
+    """Those pairs(a, b, weight) of set ids that sizes and sketches let reach the threshold."""
     one = sketches.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
     two = sketches.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
-    return joined.mapInArrow(_near(percent), "a long, b long, near boolean").where("near").select("a", "b")
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "weight", "n_a", "n_b", "sketch_a", "sketch_b")
+    return joined.mapInArrow(_near(percent), "a long, b long, weight long, near boolean").where("near").select("a", "b", "weight")
 
 
 def _check(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -226,11 +226,13 @@ def ngram_join(
 ) -> DataFrame:
     """docs -> (doc_id, n_shingles, set_id, component_id), links where 100 |A ∩ B| >= threshold |A ∪ B|.
 
-    Equal sets fall together first.  In every signature's group the set with the smallest id is the centre; pairs with the
-    centre are as many as rows, and each set is checked with the first centre that its sketch allows.  Only groups whose
-    members are then still in several components go on: there members outside the smallest component become pivots, 64 a
-    round, and are checked with every member of another component, until no group has a pivot left; so each pair that
-    shares a signature is either checked or known to be connected, and no round writes more than 64 pairs for a row.
+    Equal sets fall together first.  In every signature's group the centre is the set whose own groups are the largest in
+    all (near copies' common origin, as a rule); pairs with centres are as many as rows, and each set is checked with the
+    best centre that its sketch allows.  Only groups whose members are then still in several components go on.  A set with
+    u shingles that no other set left has shares n - u at most with any, which with the sizes bounds its similarity; what
+    can't reach the threshold in its group leaves it.  Then members outside the smallest component become pivots, 256 a
+    round, and are checked with every member of another component that this bound lets link, until no group has a pivot
+    left.  So each pair that shares a signature is checked, or ruled out by a bound, or known to be connected.
     """
     spark, docs = docs.sparkSession, docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scratch = Scratch(spark, "ngram")
@@ -238,40 +240,46 @@ def ngram_join(
     signed = docs.select("text").mapInArrow(_signed(width, threshold), "sig long, set_id long")
     group = Window.partitionBy("sig")
     shared = scratch.table(
-        signed.withColumn("centre", F.min("set_id").over(group))
-        .withColumn("last", F.max("set_id").over(group))
-        .where("centre <> last")
-        .select("sig", "set_id", "centre")
-        .distinct()
+        signed.withColumn("size", F.count("*").over(group))
+        .where("size > 1")
+        .withColumn("_first", F.min("set_id").over(group))
+        .withColumn("_last", F.max("set_id").over(group))
+        .where("_first <> _last")
+        .groupBy("sig", "set_id")
+        .agg(F.first("size").alias("size"))
     )
-    wanted = shared.select("set_id").distinct()
-    named = sized.where("n_shingles > 0").join(wanted, "set_id", "left_semi").groupBy("set_id")
+    weight = shared.groupBy("set_id").agg(F.sum("size").alias("weight"))
+    named = sized.where("n_shingles > 0").join(weight, "set_id").groupBy("set_id", "weight")
     named = scratch.table(named.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
-    star = shared.where("centre <> set_id").select(F.col("centre").alias("a"), F.col("set_id").alias("b")).distinct()
-    star = scratch.table(_candidates(star, named, threshold).groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    rank = F.struct("weight", "set_id")
+    star = shared.join(named.select("set_id", "weight"), "set_id").withColumn("centre", F.max(rank).over(group))
+    star = star.where("centre.set_id <> set_id").select(F.col("centre.set_id").alias("a"), F.col("set_id").alias("b"), "centre.weight").distinct()
+    star = scratch.table(_candidates(star, named, threshold).groupBy("b").agg(F.max(F.struct("weight", "a")).alias("_c")).select("_c.a", "b"))
     sets = _load(docs, named, width, scratch)
     checked = scratch.table(_check(star, sets, threshold))
     label = components(spark, checked.where("linked").select("a", "b"), scratch)
-    left = _rest(shared.select("sig", "set_id"), label, scratch)
+    left = _apart(shared.select("sig", "set_id"), label, scratch)
+    if not left.isEmpty():
+        left = _apart(_bounded(left, sets, named, threshold), label, scratch)
     while not left.isEmpty():
-        rank = Window.partitionBy("sig").orderBy("set_id")
-        pivots = left.where("not major").withColumn("_k", F.row_number().over(rank)).where(F.col("_k") <= PIVOTS)
-        pivots = scratch.table(pivots.select(F.col("sig").alias("_sig"), F.col("set_id").alias("_p"), F.col("component").alias("_c")))
+        order = Window.partitionBy("sig").orderBy("set_id")
+        pivots = left.where("not major").withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= PIVOTS)
+        pivots = scratch.table(pivots.select(F.col("sig").alias("_sig"), F.col("set_id").alias("_p"), F.col("component").alias("_c"), F.col("n").alias("_n"), F.col("u").alias("_u")))
+        most = F.least(F.col("n") - F.col("u"), F.col("_n") - F.col("_u"))
+        able = (F.col("component") != F.col("_c")) & (100 * most >= threshold * (F.col("n") + F.col("_n") - most))
         pairs = (
-            left.join(pivots, (F.col("sig") == F.col("_sig")) & (F.col("component") != F.col("_c")))
+            left.join(pivots, (F.col("sig") == F.col("_sig")) & able)
             .select(F.least("_p", "set_id").alias("a"), F.greatest("_p", "set_id").alias("b"))
             .distinct()
             .join(checked, ["a", "b"], "left_anti")
         )
-        pairs = scratch.table(_candidates(pairs, named, threshold))
+        pairs = scratch.table(_candidates(pairs.withColumn("weight", F.lit(0).cast("long")), named, threshold).select("a", "b"))
         if not pairs.isEmpty():
             checked = scratch.table(checked.unionByName(_check(pairs, sets, threshold)))
             scratch.drop(label)
             label = components(spark, checked.where("linked").select("a", "b"), scratch)
-        rows = left.select("sig", "set_id").join(
-            pivots.select(F.col("_sig").alias("sig"), F.col("_p").alias("set_id")), ["sig", "set_id"], "left_anti"
-        )
-        left = _rest(rows, label, scratch)
+        rows = left.join(pivots.select(F.col("_sig").alias("sig"), F.col("_p").alias("set_id")), ["sig", "set_id"], "left_anti")
+        left = _apart(rows.select("sig", "set_id", "n", "u"), label, scratch)
     of_set = sized.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     of_set = of_set.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     of_set = scratch.table(of_set)
@@ -288,13 +296,23 @@ def _load(docs: DataFrame, named: DataFrame, width: int, scratch: Scratch) -> Da
     return scratch.table(texts.mapInArrow(_sets(width), "set_id long, items array<long>"))
 
 
-def _rest(rows: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows of the groups whose members are in several components; major: in that of the smallest member."""
+def _bounded(rows: DataFrame, sets: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """rows(sig, set_id) with n and u, the shingles that no other set of rows has, without those that can't link in their group."""
+    own = sets.join(rows.select("set_id").distinct(), "set_id", "left_semi").dropDuplicates(["set_id"])
+    items = own.select("set_id", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("c"), F.min("set_id").alias("set_id"))
+    alone = items.where("c = 1").groupBy("set_id").agg(F.count("*").alias("u"))
+    known = rows.select("sig", "set_id").join(named.select("set_id", F.col("n_shingles").alias("n")), "set_id").join(alone, "set_id", "left")
+    known = known.withColumn("u", F.coalesce("u", F.lit(0))).withColumn("_least", F.min("n").over(Window.partitionBy("sig")))
+    return known.where(100 * (F.col("n") - F.col("u")) >= percent * (F.col("_least") + F.col("u"))).select("sig", "set_id", "n", "u")
+
+
+def _apart(rows: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows of the groups whose members are in several components; major: in the smallest of these."""
     group = Window.partitionBy("sig")
     known = rows.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     return scratch.table(
         known.withColumn("_low", F.min("component").over(group))
         .withColumn("_high", F.max("component").over(group))
         .where("_low <> _high")
-        .select("sig", "set_id", "component", (F.col("component") == F.col("_low")).alias("major"))
+        .select(*rows.columns, "component", (F.col("component") == F.col("_low")).alias("major"))
     )
