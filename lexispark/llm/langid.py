@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from lexispark.llm.common import slices, utf8
 from lexispark.llm.sentencepiece import MODEL, Vocabulary
@@ -231,7 +232,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
     docs = docs.select(*[f"`{f.name}`" for f in kept])
     at = [f.name for f in kept].index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", lang_pred string, score double"
+    schema = StructType(kept + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches):
         if id(shared.value) not in _SCORERS:

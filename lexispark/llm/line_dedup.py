@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lexispark.llm.common import WORD, Scratch, slices, utf8
 
@@ -82,7 +83,7 @@ def _without(text_at: int, names: list[str]):
         for batch in batches:
             _, offsets = utf8(batch.column(text_at))
             for i, j in slices(offsets):
-                texts, gone = batch.column(text_at).slice(i, j - i).to_pylist(), batch.column("_gone").slice(i, j - i).to_pylist()
+                texts, gone = batch.column(text_at).slice(i, j - i).to_pylist(), batch.column("__gone").slice(i, j - i).to_pylist()
                 total, removed = [], []
                 for k, (text, less) in enumerate(zip(texts, gone, strict=True)):
                     lines = text.split("\n") if text else []
@@ -125,10 +126,10 @@ def line_dedup(docs: DataFrame, rare_words: int = RARE_WORDS, id_col: str = "doc
         .select(F.col("doc_b").alias("doc_id"), "lines_a", "lines_b", "seeds_b")
     )
     gone = both.mapInArrow(_aligned, "doc_id long, gone array<int>")
-    gone = scratch.table(gone.groupBy(F.col("doc_id").alias("_id")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("_gone")))
+    gone = scratch.table(gone.groupBy(F.col("doc_id").alias("__gone_id")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone")))
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
     docs = docs.select(*[f"`{f.name}`" for f in kept])
-    joined = docs.join(gone, docs[id_col].cast("long") == gone["_id"], "left").drop("_id")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", n_lines long, n_removed long"
+    joined = docs.join(gone, docs[id_col].cast("long") == gone["__gone_id"], "left").drop("__gone_id")
+    schema = StructType(kept + [StructField("n_lines", LongType()), StructField("n_removed", LongType())])
     names = [f.name for f in kept]
     return joined.mapInArrow(_without(names.index(text_col), names), schema)

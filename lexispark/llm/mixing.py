@@ -150,8 +150,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     doc_id names a document; rows may repeat it whole.  Rows with a null doc_id can't be told apart and stay once.
     """
     plan = entropy_mix(docs, id_col, source_col, text_col).where("copies > 0")
-    plan = plan.groupBy(F.col("doc_id").alias("_id")).agg(F.sum("copies").alias("_copies"))
+    plan = plan.groupBy(F.col("doc_id").alias("__mix_id")).agg(F.sum("copies").alias("__mix_copies"))
     once = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    taken = once.join(plan, once[id_col] == plan["_id"]).drop("_id")
-    taken = taken.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_k", "_copies")
+    taken = once.join(plan, once[id_col] == plan["__mix_id"]).drop("__mix_id")
+    taken = taken.withColumn("__mix_k", F.explode(F.sequence(F.lit(1), F.col("__mix_copies").cast("int")))).drop("__mix_k", "__mix_copies")
     return taken.unionByName(docs.where(F.col(id_col).isNull()))

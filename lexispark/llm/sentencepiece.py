@@ -25,7 +25,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from lexispark.llm.common import lists, slices, utf8
 
@@ -216,8 +217,7 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model:
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
     kept = [f for f in docs.schema.fields if f.name != text_col and f.name != ids_col and f.name != check_col]
     docs = docs.select(*[f"`{f.name}`" for f in kept], f"`{text_col}`")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    schema = f"{fields}, `{ids_col}` array<int>" + (f", `{check_col}` boolean" if check_col else "")
+    schema = StructType(kept + [StructField(ids_col, ArrayType(IntegerType()))] + [StructField(check_col, BooleanType())] * bool(check_col))
 
     def run(batches):
         encoder = _encoder(shared)
@@ -249,7 +249,7 @@ def decode(rows: DataFrame, ids_col: str = "ids", text_col: str = "text", model:
     kept = [f for f in rows.schema.fields if f.name != text_col]
     rows = rows.select(*[f"`{f.name}`" for f in kept])
     at = [f.name for f in kept].index(ids_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{text_col}` string"
+    schema = StructType(kept + [StructField(text_col, StringType())])
 
     def run(batches):
         vocabulary = shared.value
