@@ -113,7 +113,7 @@ def dual(a: CoverTree, b: CoverTree, threshold: float, same: bool) -> tuple[np.n
                 links_b[other] += len(own)
             joins.append((own, np.full(len(own), other[0])))
             joins.append((np.full(len(other), own[0]), other))
-    return links_a, links_b, joins
+    return (links_a + links_b if same else links_a), links_b, joins
 
 
 def _least(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
