@@ -129,7 +129,8 @@ def line_dedup(docs: DataFrame, rare_words: int = RARE_WORDS, id_col: str = "doc
     gone = scratch.table(gone.groupBy(F.col("doc_id").alias("__gone_id")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone")))
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
     docs = docs.select(*[f"`{f.name}`" for f in kept])
-    joined = docs.join(gone, docs[id_col].cast("long") == gone["__gone_id"], "left").drop("__gone_id")
+    # Sorted and merged at every size: what is gone grows with the input.
+    joined = docs.join(gone.hint("merge"), docs[id_col].cast("long") == gone["__gone_id"], "left").drop("__gone_id")
     schema = StructType(kept + [StructField("n_lines", LongType()), StructField("n_removed", LongType())])
     names = [f.name for f in kept]
     return joined.mapInArrow(_without(names.index(text_col), names), schema)
