@@ -37,7 +37,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked at a similarity of 0.8 on 5-word shingles, the smallest id stays."""
     extra = ngram_join(docs, threshold=80, width=5).where("doc_id <> component_id").select("doc_id")
-    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(extra.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

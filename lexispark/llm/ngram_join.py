@@ -292,7 +292,7 @@ def ngram_join(
 
 def _load(docs: DataFrame, named: DataFrame, width: int, scratch: Scratch) -> DataFrame:
     """The whole sets that share a signature."""
-    texts = docs.join(named.select("set_id", "doc_id"), "doc_id").dropDuplicates(["doc_id"]).select("set_id", "text")
+    texts = docs.join(named.select("set_id", "doc_id").hint("merge"), "doc_id").dropDuplicates(["doc_id"]).select("set_id", "text")
     return scratch.table(texts.mapInArrow(_sets(width), "set_id long, items array<long>"))
 
 
