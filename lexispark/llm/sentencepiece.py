@@ -33,7 +33,7 @@ from lexispark.llm.common import lists, slices, utf8
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Stretches that a worker remembers.
 REMEMBERED = 300_000
-#: Positions after which convergence is looked for.
+#: Positions after which convergence is looked for; each search without success doubles the wait, so searching stays linear.
 STRIDE = 64
 _BYTE_COST = 20_000
 
@@ -81,15 +81,16 @@ class Vocabulary:
 def viterbi(text: str, vocabulary: Vocabulary) -> list[int]:
     """Ids of the cheapest segmentation of a text in which spaces are part of the pieces."""
     table, n, out = vocabulary.prefixes, len(text), []
-    base, cost, back = 0, {0: 0}, {}
+    base, cost, back, wait = 0, {0: 0}, {}, STRIDE
     for i in range(n):
-        if i - base >= STRIDE:
+        if i - base >= wait:
             heads = {j for j in cost if j >= i}
             while len(heads) > 1:
                 top = max(heads)
                 heads.remove(top)
                 heads.add(back[top][0])
             point = heads.pop()
+            wait = STRIDE if point > base else 2 * wait
             if point > base:
                 out += _path(back, base, point)
                 base = point
