@@ -45,7 +45,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def is_even_book():
-    return F.regexp_extract("book", "([0-9]+)$", 1).cast("int") % 2 == 0
+    return F.regexp_extract("book", "([0-9]+)$", 1).try_cast("int") % 2 == 0
 
 
 def new_flags(spark: SparkSession, sf_dir: str, pass_no: int = 1) -> DataFrame:

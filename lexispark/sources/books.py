@@ -24,7 +24,7 @@ def infer_book_id(path: Column) -> Column:
 
 def natural_order(files: DataFrame, name: str = "name") -> DataFrame:
     """Adds place: files with a leading number by that number and name, then the others by name."""
-    prefix = F.nullif(F.regexp_extract(name, r"^\s*([0-9]+)", 1), F.lit("")).cast("decimal(38,0)")
+    prefix = F.nullif(F.regexp_extract(name, r"^\s*([0-9]+)", 1), F.lit("")).try_cast("decimal(38,0)")
     # One row a file of one folder: the window orders a listing, not data.
     order = Window.orderBy(prefix.asc_nulls_last(), F.col(name))
     return files.withColumn("place", F.row_number().over(order))
