@@ -218,7 +218,7 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model:
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
     kept = [f for f in docs.schema.fields if f.name != text_col and f.name != ids_col and f.name != check_col]
     docs = docs.select(*[f"`{f.name}`" for f in kept], f"`{text_col}`")
-    schema = StructType(kept + [StructField(ids_col, ArrayType(IntegerType()))] + [StructField(check_col, BooleanType())] * bool(check_col))
+    schema = StructType(kept + [StructField(ids_col, ArrayType(IntegerType()))] + ([StructField(check_col, BooleanType())] if check_col else []))
 
     def run(batches):
         encoder = _encoder(shared)
