@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.functions import constants as K
-from lexispark.functions.text import count, rx, strip, tokens
+from lexispark.functions.text import count, tokens
 
 POS_RUN = rf"(?<![A-Za-z])(?:{'|'.join(K.POS)})(?![A-Za-z])\.?"
 
