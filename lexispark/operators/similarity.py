@@ -23,9 +23,9 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _bag(word: Column) -> Column:
-    """Characters with their occurrence: a#1, b#1, a#2.  Each is made of the characters before it, in one expression."""
+    """Characters with their occurrence, a#1, b#1, a#2, as 64-bit hashes."""
     chars = F.filter(F.split(word, ""), lambda c: c != "")
-    return F.transform(chars, lambda c, i: F.concat_ws("#", c, F.size(F.filter(F.slice(chars, 1, i + 1), lambda d: d == c))))
+    return F.transform(chars, lambda c, i: F.xxhash64(c, F.size(F.filter(F.slice(chars, 1, i + 1), lambda d: d == c))))
 
 
 def similar_pairs(words: DataFrame, threshold: float) -> DataFrame:
