@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

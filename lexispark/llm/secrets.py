@@ -16,7 +16,6 @@ results; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from functools import lru_cache
 
