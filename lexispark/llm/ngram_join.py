@@ -25,7 +25,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.llm.common import Scratch, lists, mix, slices, span_hashes, utf8, words
@@ -132,10 +132,14 @@ def _sizes(width: int):
                 ends = np.cumsum(n)
                 sketches = [sketch(s[e - k : e]) for e, k in zip(ends, n, strict=True)]
                 names = np.where(n > 0, set_ids(s, n), 0)
+                # The same sketch with an eighth of the bits, for comparisons inside a join.
+                small = np.bitwise_xor.reduce(np.frombuffer(b"".join(sketches), np.int64).reshape(len(n), 8, -1), axis=1)
+                width4 = np.full(len(n), small.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, len(n)), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.binary())],
-                    names=["doc_id", "n_shingles", "set_id", "sketch"],
-                )
+                    [batch.column(0).slice(i, len(n)), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.binary()),
+                     lists(small.ravel(), width4, pa.int64())],
+                    names=["doc_id", "n_shingles", "set_id", "sketch", "small"],
+                )
 
     return run
 
@@ -236,7 +240,7 @@ def ngram_join(
     """
     spark, docs = docs.sparkSession, docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scratch = Scratch(spark, "ngram")
-    sized = scratch.table(docs.mapInArrow(_sizes(width), "doc_id long, n_shingles long, set_id long, sketch binary"))
+    sized = scratch.table(docs.mapInArrow(_sizes(width), "doc_id long, n_shingles long, set_id long, sketch binary, small array<long>"))
     signed = docs.select("text").mapInArrow(_signed(width, threshold), "sig long, set_id long")
     group = Window.partitionBy("sig")
     shared = scratch.table(
@@ -250,7 +254,7 @@ def ngram_join(
     )
     weight = shared.groupBy("set_id").agg(F.sum("size").alias("weight"))
     named = sized.where("n_shingles > 0").join(weight, "set_id").groupBy("set_id", "weight")
-    named = scratch.table(named.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
+    named = scratch.table(named.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("small").alias("small")))
     rank = F.struct("weight", "set_id")
     star = shared.join(named.select("set_id", "weight"), "set_id").withColumn("centre", F.max(rank).over(group))
     star = star.where("centre.set_id <> set_id").select(F.col("centre.set_id").alias("a"), F.col("set_id").alias("b"), "centre.weight").distinct()
@@ -264,9 +268,11 @@ def ngram_join(
     while not left.isEmpty():
         order = Window.partitionBy("sig").orderBy("set_id")
         pivots = left.where("not major").withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= PIVOTS)
-        pivots = scratch.table(pivots.select(F.col("sig").alias("_sig"), F.col("set_id").alias("_p"), F.col("component").alias("_c"), F.col("n").alias("_n"), F.col("u").alias("_u")))
+        pivots = scratch.table(pivots.select(F.col("sig").alias("_sig"), F.col("set_id").alias("_p"), F.col("component").alias("_c"), F.col("n").alias("_n"), F.col("u").alias("_u"), F.col("small").alias("_small")))
         most = F.least(F.col("n") - F.col("u"), F.col("_n") - F.col("_u"))
         able = (F.col("component") != F.col("_c")) & (100 * most >= threshold * (F.col("n") + F.col("_n") - most))
+        apart = sum(F.bit_count(F.col("small")[i].bitwiseXOR(F.col("_small")[i])) for i in range(SKETCH // 512))
+        able &= (100 + threshold) * apart <= (100 - threshold) * (F.col("n") + F.col("_n"))
         pairs = (
             left.join(pivots, (F.col("sig") == F.col("_sig")) & able)
             .select(F.least("_p", "set_id").alias("a"), F.greatest("_p", "set_id").alias("b"))
@@ -279,7 +285,7 @@ def ngram_join(
             scratch.drop(label)
             label = components(spark, checked.where("linked").select("a", "b"), scratch)
         rows = left.join(pivots.select(F.col("_sig").alias("sig"), F.col("_p").alias("set_id")), ["sig", "set_id"], "left_anti")
-        left = _apart(rows.select("sig", "set_id", "n", "u"), label, scratch)
+        left = _apart(rows.select("sig", "set_id", "n", "u", "small"), label, scratch)
     of_set = sized.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     of_set = of_set.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
     of_set = scratch.table(of_set)
@@ -301,9 +307,9 @@ def _bounded(rows: DataFrame, sets: DataFrame, named: DataFrame, percent: int) -
     own = sets.join(rows.select("set_id").distinct(), "set_id", "left_semi").dropDuplicates(["set_id"])
     items = own.select("set_id", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("c"), F.min("set_id").alias("set_id"))
     alone = items.where("c = 1").groupBy("set_id").agg(F.count("*").alias("u"))
-    known = rows.select("sig", "set_id").join(named.select("set_id", F.col("n_shingles").alias("n")), "set_id").join(alone, "set_id", "left")
+    known = rows.select("sig", "set_id").join(named.select("set_id", F.col("n_shingles").alias("n"), "small"), "set_id").join(alone, "set_id", "left")
     known = known.withColumn("u", F.coalesce("u", F.lit(0))).withColumn("_least", F.min("n").over(Window.partitionBy("sig")))
-    return known.where(100 * (F.col("n") - F.col("u")) >= percent * (F.col("_least") + F.col("u"))).select("sig", "set_id", "n", "u")
+    return known.where(100 * (F.col("n") - F.col("u")) >= percent * (F.col("_least") + F.col("u"))).select("sig", "set_id", "n", "u", "small")
 
 
 def _apart(rows: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
