@@ -1,13 +1,14 @@
 """Line dedup by pairwise alignment.
 
-A line that can seed an alignment has RARE_WORDS words at least, so that two texts rarely share it by chance.  Each such
-line belongs to the first document (smallest id) that holds it; every later document that shares it is paired with that
-document, which makes as many pairs as shared lines however common a line is.  Each pair is aligned by patience diff:
-shared seed lines (the k-th occurrence with the k-th) in longest increasing order, grown over equal neighbours of any
-length.  The aligned blocks go from the later document.
+A line goes if patience diff with any earlier document (smaller id) puts it in an aligned block: shared seed lines (the
+k-th occurrence with the k-th) in longest increasing order, grown over equal neighbours of any length.  A line that can
+seed an alignment has RARE_WORDS words at least, so that two texts rarely share it by chance.
 
-Every line is in the first holder's document too, so each shared seed line of a later document comes up in one of its
-pairs.  Lines out of order with the rest of an alignment stay.
+Not all pairs are aligned.  Of equal line sequences the first document stands for all, and the others go whole.  Each
+document is aligned with the first holder of each of its seed lines.  While a seed line is left, its document is then
+aligned with the line's other earlier holders, nearest first, 1, 2, 4, ... at a time, until the line has gone or all were
+tried.  So most lines make one pair however common they are, and seed lines go or stay as they do if all pairs are aligned.
+A line stays where every alignment has it out of order.
 
 Defined results: a text of which all lines with words go becomes empty; null and empty texts stay; rows that repeat a
 doc_id never count as later than each other, so equal rows stay equal; rows with a null doc_id stay as they are.  Extra
@@ -77,6 +78,65 @@ def _aligned(batches):
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(places, pa.list_(pa.int32()))], names=["doc_id", "gone"])
 
 
+def _left(batches):
+    """Seed lines of each document that have a place that isn't gone."""
+    for batch in batches:
+        ids, left = [], []
+        for doc, lines, seeds, gone in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lines", "seeds", "gone")), strict=True):
+            gone = set(gone)
+            found = {x for j, x in enumerate(lines) if seeds[j] and j not in gone}
+            ids += [doc] * len(found)
+            left += found
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(left, pa.int64())], names=["doc_id", "h"])
+
+
+def _numbered(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """rows(h, doc_id) with their place n in the order of h and doc_id; no task takes all rows of one h."""
+    rows = rows.repartitionByRange("h", "doc_id").sortWithinPartitions("h", "doc_id")
+    rows = scratch.table(rows.withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33)
+    base, n = [], 0
+    for p, size in sorted(rows.groupBy(part.alias("p")).agg(F.count("*").alias("c")).collect()):
+        base.append((p, n - (p << 33)))
+        n += size
+    return rows.join(F.broadcast(rows.sparkSession.createDataFrame(base, "p long, base long")), part == F.col("p")).select(
+        "h", "doc_id", (F.col("at") + F.col("base")).alias("n")
+    )
+
+
+def _pairs_left(once: DataFrame, seeds: DataFrame, holders: DataFrame, pairs: DataFrame, align, scratch: Scratch) -> list[DataFrame]:
+    """What goes from each document, by the pairs of first holders and then by those that the lines left still need."""
+    out, tried = [align(pairs)], pairs
+
+    def left(docs):
+        gone = out[0]
+        for x in out[1:]:
+            gone = gone.unionByName(x)
+        gone = gone.join(docs, "doc_id", "left_semi").groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+        return once.join(gone, "doc_id").select("doc_id", "lines", "seeds", "gone").mapInArrow(_left, "doc_id long, h long")
+
+    now = left(pairs.select(F.col("doc_b").alias("doc_id")).distinct())
+    now = scratch.table(now.join(holders, "h").where("first < doc_id").select("doc_id", "h"))
+    if now.isEmpty():
+        return out
+    order = scratch.table(_numbered(seeds.join(now.select("h").distinct(), "h", "left_semi"), scratch))
+    starts = order.groupBy("h").agg(F.min("n").alias("start"))
+    # The row at start is the first holder, which has been tried.
+    now = scratch.table(now.join(order, ["doc_id", "h"]).join(starts, "h").where("n - start > 1"))
+    nearest = 1
+    while not now.isEmpty():
+        last = F.greatest(F.col("n") - (2 * nearest - 1), F.col("start") + 1)
+        wanted = now.select(F.col("doc_id").alias("doc_b"), F.explode(F.sequence(last, F.col("n") - nearest)).alias("n"))
+        more = wanted.join(order.select("n", F.col("doc_id").alias("doc_a")), "n").select("doc_a", "doc_b").distinct()
+        more = scratch.table(more.join(tried, ["doc_a", "doc_b"], "left_anti"))
+        tried = tried.unionByName(more)
+        out.append(align(more))
+        nearest *= 2
+        rest = now.where(F.col("n") - nearest > F.col("start"))
+        now = scratch.table(rest.join(left(rest.select("doc_id").distinct()), ["doc_id", "h"], "left_semi"))
+    return out
+
+
 def _without(text_at: int, names: list[str]):
     def run(batches):
         for batch in batches:
@@ -110,21 +170,32 @@ def line_dedup(docs: DataFrame, rare_words: int = RARE_WORDS, id_col: str = "doc
         F.transform(split, lambda x: F.regexp_count(x, F.lit(WORD)) >= rare_words).alias("seeds"),
     )
     lines = scratch.table(lines.where("doc_id is not null"))
-    seeds = lines.select("doc_id", F.explode(F.arrays_zip("lines", "seeds")).alias("x")).where("x.seeds").select("doc_id", F.col("x.lines").alias("h"))
+    once = lines.groupBy("doc_id").agg(F.first("lines").alias("lines"), F.first("seeds").alias("seeds"))
+    once = scratch.table(once.withColumn("whole", F.xxhash64("lines", F.size("lines"))))
+    firsts = once.groupBy("whole").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select("whole", "first")
+    seeded = once.where("exists(seeds, x -> x)").select("doc_id", "whole", F.size("lines").alias("n"))
+    copies = scratch.table(seeded.join(firsts, "whole").where("doc_id > first").select("doc_id", "n"))
+    once = scratch.table(once.drop("whole").join(copies.hint("merge"), "doc_id", "left_anti"))
+    seeds = once.select("doc_id", F.explode(F.arrays_zip("lines", "seeds")).alias("x")).where("x.seeds")
+    seeds = scratch.table(seeds.select("doc_id", F.col("x.lines").alias("h")).distinct())
     holders = scratch.table(
         seeds.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select("h", "first")
     )
     pairs = scratch.table(
         seeds.join(holders, "h").where("doc_id > first").select(F.col("first").alias("doc_a"), F.col("doc_id").alias("doc_b")).distinct()
     )
-    once = lines.groupBy("doc_id").agg(F.first("lines").alias("lines"), F.first("seeds").alias("seeds"))
-    once = scratch.table(once)
-    both = (
-        pairs.join(once.select(F.col("doc_id").alias("doc_a"), F.col("lines").alias("lines_a")), "doc_a")
-        .join(once.select(F.col("doc_id").alias("doc_b"), F.col("lines").alias("lines_b"), F.col("seeds").alias("seeds_b")), "doc_b")
-        .select(F.col("doc_b").alias("doc_id"), "lines_a", "lines_b", "seeds_b")
-    )
-    gone = both.mapInArrow(_aligned, "doc_id long, gone array<int>")
+
+    def align(pairs):
+        both = (
+            pairs.join(once.select(F.col("doc_id").alias("doc_a"), F.col("lines").alias("lines_a")), "doc_a")
+            .join(once.select(F.col("doc_id").alias("doc_b"), F.col("lines").alias("lines_b"), F.col("seeds").alias("seeds_b")), "doc_b")
+            .select(F.col("doc_b").alias("doc_id"), "lines_a", "lines_b", "seeds_b")
+        )
+        return scratch.table(both.mapInArrow(_aligned, "doc_id long, gone array<int>").where("size(gone) > 0"))
+
+    gone = copies.select("doc_id", F.sequence(F.lit(0), F.col("n") - 1).alias("gone"))
+    for x in _pairs_left(once, seeds, holders, pairs, align, scratch):
+        gone = gone.unionByName(x)
     gone = scratch.table(gone.groupBy(F.col("doc_id").alias("__gone_id")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone")))
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
     docs = docs.select(*[f"`{f.name}`" for f in kept])

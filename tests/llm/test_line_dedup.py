@@ -1,3 +1,5 @@
+from random import Random
+
 from lexispark.llm.line_dedup import line_dedup, patience
 
 
@@ -61,3 +63,25 @@ def test_many_sharers_empty_and_repeats(spark, docs):
     assert line_dedup(docs([])).count() == 0
     same = line_dedup(docs([(1, line(1)), (1, line(1)), (None, line(1)), (2, line(1))])).collect()
     assert sorted((x.doc_id or 0, x.text) for x in same) == [(0, line(1)), (1, line(1)), (1, line(1)), (2, "")]
+
+
+def every_pair(rows):
+    """What goes from each text if it is aligned with all earlier ones."""
+    out = {}
+    for i, t in rows:
+        own = t.split("\n")
+        gone = set()
+        for _, other in (r for r in rows if r[0] < i):
+            gone |= set(patience(other.split("\n"), own, [len(x.split()) >= 5 for x in own]))
+        out[i] = len(gone)
+    return out
+
+
+def test_seed_lines_go_as_if_all_pairs_were_aligned(spark, docs):
+    x, y = "\n".join(map(line, (1, 2))), "\n".join(map(line, (3, 4)))
+    rows = [(1, f"{x}\n{y}"), (2, f"{y}\n{x}"), (3, f"{y}\n{x}"), (4, f"{y}\n{line(9)}\n{x}"), (5, f"{line(9)}\n{x}\n{y}")]
+    out = {r.doc_id: (r.text, r.n_removed) for r in line_dedup(docs(rows)).collect()}
+    assert out[3] == ("", 4) and out[4] == (line(9), 4)
+    rng = Random(5)
+    rows = [(i, "\n".join(line(rng.randrange(7)) for _ in range(rng.randrange(1, 9)))) for i in range(120)]
+    assert {r.doc_id: r.n_removed for r in line_dedup(docs(rows)).collect()} == every_pair(rows)
