@@ -1,13 +1,14 @@
 """Line dedup by pairwise alignment.
 
-A line goes if patience diff with any earlier document (smaller id) puts it in an aligned block: shared seed lines (the
-k-th occurrence with the k-th) in longest increasing order, grown over equal neighbours of any length.  A line that can
-seed an alignment has RARE_WORDS words at least, so that two texts rarely share it by chance.
+A line goes if patience diff with any earlier document (smaller id) puts it in an aligned block: shared seeds (the k-th
+occurrence with the k-th) in longest increasing order, grown over equal neighbours of any length.  A seed is a run of
+consecutive lines, the shortest from its first line or to its last one that has RARE_WORDS words or more, so that two texts
+rarely share it by chance: a long line alone, or short lines together.  Equal documents go at any number of words.
 
 Not all pairs are aligned.  Of equal line sequences the first document stands for all, and the others go whole.  Each
-document is aligned with the first holder of each of its seed lines.  While a seed line is left, its document is then
-aligned with the line's other earlier holders, nearest first, 1, 2, 4, ... at a time, until the line has gone or all were
-tried.  So most lines make one pair however common they are, and seed lines go or stay as they do if all pairs are aligned.
+document is aligned with the first holder of each of its seeds.  While a line of a seed is left, its document is then
+aligned with the seed's other earlier holders, nearest first, 1, 2, 4, ... at a time, until its lines have gone or all were
+tried.  So most seeds make one pair however common they are, and lines go or stay as they do if all pairs are aligned.
 A line stays where every alignment has it out of order.
 
 Defined results: a text of which all lines with words go becomes empty; null and empty texts stay; rows that repeat a
@@ -19,27 +20,49 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lexispark.llm.common import WORD, Scratch, slices, utf8
+from lexispark.llm.common import _INV, WORD, Scratch, _power_tables, mix, slices, utf8
 
 RARE_WORDS = 5
 
 
-def patience(a: list[int], b: list[int], seed: list[bool]) -> list[int]:
-    """Places of b in the common blocks of a and b; seed: may this line of b start a block?"""
+def _numbered_keys(keys):
+    seen: dict[int, int] = {}
+    for i, x in enumerate(keys):
+        seen[x] = k = seen.get(x, -1) + 1
+        yield i, (x, k)
 
-    def numbered(lines):
-        seen: dict[int, int] = {}
-        for i, x in enumerate(lines):
-            seen[x] = k = seen.get(x, -1) + 1
-            yield i, (x, k)
 
-    places = {x: i for i, x in numbered(a)}
-    anchors = [(places[x], j) for j, x in numbered(b) if seed[j] and x in places]
+def patience(a: list[int], b: list[int], seed: list[bool]) -> list[int]:
+    """Places of b in the common blocks of a and b; seed: may this line of b start a block?"""
+    places = {x: i for i, x in _numbered_keys(a)}
+    return grown(a, b, [(places[x], j) for j, x in _numbered_keys(b) if seed[j] and x in places])
+
+
+def windows(lines: list[int], words: list[int], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Starts, ends and hashes of the seeds of a text, and how many of them, the first ones, are the shortest from their starts."""
+    n = len(lines)
+    total = np.concatenate([[0], np.cumsum(np.array(words, np.int64))])
+    ends = np.searchsorted(total, total[:-1] + least, "left")
+    starts = np.flatnonzero(ends <= n)
+    ends = ends[starts]
+    back = np.searchsorted(total, total[1:] - least, "right") - 1
+    to = np.flatnonzero(back >= 0)
+    s, e = np.concatenate([starts, back[to]]), np.concatenate([ends, to + 1])
+    pw, inverse = _power_tables(n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(np.array(lines, np.int64).view(np.uint64) * pw[:n], out=sums[1:])
+    h = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64) * np.uint64(_INV))
+    return s, e, h.view(np.int64), len(starts)
+
+
+def grown(a: list[int], b: list[int], anchors: list[tuple[int, int]]) -> list[int]:
+    """Places of b in the blocks around the longest increasing chain of anchors (i, j), which are in the order of j."""
     tops, ends, back = [], [], {}
     for n, (i, _) in enumerate(anchors):
         k = bisect_left(tops, i)
@@ -70,24 +93,46 @@ def patience(a: list[int], b: list[int], seed: list[bool]) -> list[int]:
     return sorted(out)
 
 
-def _aligned(batches):
-    for batch in batches:
-        ids, places = [], []
-        for doc, a, b, seed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lines_a", "lines_b", "seeds_b")), strict=True):
-            ids.append(doc), places.append(patience(a, b, seed))
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(places, pa.list_(pa.int32()))], names=["doc_id", "gone"])
+def _columns(batch, *names):
+    return zip(*(batch.column(c).to_pylist() for c in names), strict=True)
+
+
+def _aligned(least: int):
+    def first_lines(lines, words):
+        starts, _, h, n = windows(lines, words, least)
+        starts = starts[:n].tolist()
+        return [(starts[i], x) for i, x in _numbered_keys(h[:n].tolist())]
+
+    def run(batches):
+        for batch in batches:
+            ids, gone = [], []
+            for doc, a, b, words_a, words_b in _columns(batch, "doc_id", "lines_a", "lines_b", "words_a", "words_b"):
+                places = {x: i for i, x in first_lines(a, words_a)}
+                ids.append(doc), gone.append(grown(a, b, [(places[x], j) for j, x in first_lines(b, words_b) if x in places]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], names=["doc_id", "gone"])
+
+    return run
+
 
+def _seeds(least: int, left: bool = False):
+    """Seeds of each document; left: those with a line that isn't gone."""
 
-def _left(batches):
-    """Seed lines of each document that have a place that isn't gone."""
-    for batch in batches:
-        ids, left = [], []
-        for doc, lines, seeds, gone in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lines", "seeds", "gone")), strict=True):
-            gone = set(gone)
-            found = {x for j, x in enumerate(lines) if seeds[j] and j not in gone}
-            ids += [doc] * len(found)
-            left += found
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(left, pa.int64())], names=["doc_id", "h"])
+    def run(batches):
+        for batch in batches:
+            ids, found = [], []
+            for doc, lines, words, *gone in _columns(batch, "doc_id", "lines", "words", *(["gone"] if left else [])):
+                s, e, h, _ = windows(lines, words, least)
+                if left:
+                    stay = np.ones(len(lines), np.int64)
+                    stay[gone[0]] = 0
+                    stay = np.concatenate([[0], np.cumsum(stay)])
+                    h = h[stay[e] > stay[s]]
+                h = np.unique(h)
+                ids.append(np.full(len(h), doc, np.int64)), found.append(h)
+            if ids:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(found))], names=["doc_id", "h"])
+
+    return run
 
 
 def _numbered(rows: DataFrame, scratch: Scratch) -> DataFrame:
@@ -104,7 +149,7 @@ def _numbered(rows: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
-def _pairs_left(once: DataFrame, seeds: DataFrame, holders: DataFrame, pairs: DataFrame, align, scratch: Scratch) -> list[DataFrame]:
+def _pairs_left(once: DataFrame, seeds: DataFrame, holders: DataFrame, pairs: DataFrame, align, least: int, scratch: Scratch) -> list[DataFrame]:
     """What goes from each document, by the pairs of first holders and then by those that the lines left still need."""
     out, tried = [align(pairs)], pairs
 
@@ -113,7 +158,7 @@ def _pairs_left(once: DataFrame, seeds: DataFrame, holders: DataFrame, pairs: Da
         for x in out[1:]:
             gone = gone.unionByName(x)
         gone = gone.join(docs, "doc_id", "left_semi").groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
-        return once.join(gone, "doc_id").select("doc_id", "lines", "seeds", "gone").mapInArrow(_left, "doc_id long, h long")
+        return once.join(gone, "doc_id").select("doc_id", "lines", "words", "gone").mapInArrow(_seeds(least, True), "doc_id long, h long")
 
     now = left(pairs.select(F.col("doc_b").alias("doc_id")).distinct())
     now = scratch.table(now.join(holders, "h").where("first < doc_id").select("doc_id", "h"))
@@ -167,17 +212,16 @@ def line_dedup(docs: DataFrame, rare_words: int = RARE_WORDS, id_col: str = "doc
     lines = docs.where(F.length(text_col) > 0).select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.transform(split, lambda x: F.xxhash64(x)).alias("lines"),
-        F.transform(split, lambda x: F.regexp_count(x, F.lit(WORD)) >= rare_words).alias("seeds"),
+        F.transform(split, lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"),
     )
     lines = scratch.table(lines.where("doc_id is not null"))
-    once = lines.groupBy("doc_id").agg(F.first("lines").alias("lines"), F.first("seeds").alias("seeds"))
+    once = lines.groupBy("doc_id").agg(F.first("lines").alias("lines"), F.first("words").alias("words"))
     once = scratch.table(once.withColumn("whole", F.xxhash64("lines", F.size("lines"))))
     firsts = once.groupBy("whole").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select("whole", "first")
-    seeded = once.where("exists(seeds, x -> x)").select("doc_id", "whole", F.size("lines").alias("n"))
+    seeded = once.where("exists(words, x -> x > 0)").select("doc_id", "whole", F.size("lines").alias("n"))
     copies = scratch.table(seeded.join(firsts, "whole").where("doc_id > first").select("doc_id", "n"))
     once = scratch.table(once.drop("whole").join(copies.hint("merge"), "doc_id", "left_anti"))
-    seeds = once.select("doc_id", F.explode(F.arrays_zip("lines", "seeds")).alias("x")).where("x.seeds")
-    seeds = scratch.table(seeds.select("doc_id", F.col("x.lines").alias("h")).distinct())
+    seeds = scratch.table(once.mapInArrow(_seeds(rare_words), "doc_id long, h long"))
     holders = scratch.table(
         seeds.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select("h", "first")
     )
@@ -187,14 +231,14 @@ def line_dedup(docs: DataFrame, rare_words: int = RARE_WORDS, id_col: str = "doc
 
     def align(pairs):
         both = (
-            pairs.join(once.select(F.col("doc_id").alias("doc_a"), F.col("lines").alias("lines_a")), "doc_a")
-            .join(once.select(F.col("doc_id").alias("doc_b"), F.col("lines").alias("lines_b"), F.col("seeds").alias("seeds_b")), "doc_b")
-            .select(F.col("doc_b").alias("doc_id"), "lines_a", "lines_b", "seeds_b")
+            pairs.join(once.select(F.col("doc_id").alias("doc_a"), F.col("lines").alias("lines_a"), F.col("words").alias("words_a")), "doc_a")
+            .join(once.select(F.col("doc_id").alias("doc_b"), F.col("lines").alias("lines_b"), F.col("words").alias("words_b")), "doc_b")
+            .select(F.col("doc_b").alias("doc_id"), "lines_a", "lines_b", "words_a", "words_b")
         )
-        return scratch.table(both.mapInArrow(_aligned, "doc_id long, gone array<int>").where("size(gone) > 0"))
+        return scratch.table(both.mapInArrow(_aligned(rare_words), "doc_id long, gone array<int>").where("size(gone) > 0"))
 
     gone = copies.select("doc_id", F.sequence(F.lit(0), F.col("n") - 1).alias("gone"))
-    for x in _pairs_left(once, seeds, holders, pairs, align, scratch):
+    for x in _pairs_left(once, seeds, holders, pairs, align, rare_words, scratch):
         gone = gone.unionByName(x)
     gone = scratch.table(gone.groupBy(F.col("doc_id").alias("__gone_id")).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("__gone")))
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]

@@ -1,6 +1,6 @@
 from random import Random
 
-from lexispark.llm.line_dedup import line_dedup, patience
+from lexispark.llm.line_dedup import grown, line_dedup, patience
 
 
 def test_patience():
@@ -85,3 +85,34 @@ def test_seed_lines_go_as_if_all_pairs_were_aligned(spark, docs):
     rng = Random(5)
     rows = [(i, "\n".join(line(rng.randrange(7)) for _ in range(rng.randrange(1, 9)))) for i in range(120)]
     assert {r.doc_id: r.n_removed for r in line_dedup(docs(rows)).collect()} == every_pair(rows)
+
+
+def runs(lines):
+    """The k-th occurrence of each shortest run of lines with five words or more, by its first place."""
+    out, seen = {}, {}
+    for i in range(len(lines)):
+        for j in range(i + 1, len(lines) + 1):
+            if sum(len(x.split()) for x in lines[i:j]) >= 5:
+                x = tuple(lines[i:j])
+                seen[x] = k = seen.get(x, -1) + 1
+                out[x, k] = i
+                break
+    return out
+
+
+def test_short_lines_seed_together(spark, docs):
+    rng = Random(7)
+    pool = ["a", "b b", "c c c", "", line(1), line(2)]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 8)))) for i in range(60)]
+    rows += [(100, "x\ny\nz\nu\nv\nw"), (101, "head\nx\ny\nz\nu\nv\ntail"), (102, "one\ntwo"), (103, "one\ntwo"), (104, "one\nthree")]
+    out = {r.doc_id: r for r in line_dedup(docs(rows)).collect()}
+    assert out[101].text == "head\ntail" and out[103].text == "" and out[104].text == "one\nthree" and out[102].text == "one\ntwo"
+    for i, t in rows:
+        own, gone = t.split("\n"), set()
+        for _, other in (r for r in rows if r[0] < i and t):
+            if other == t and t.strip():
+                gone |= set(range(len(own)))
+            a = other.split("\n")
+            places = runs(a)
+            gone |= set(grown(a, own, sorted(((places[x], j) for x, j in runs(own).items() if x in places), key=lambda p: p[1])))
+        assert out[i].n_removed == len(gone), (i, t)
