@@ -139,14 +139,19 @@ def _with_next(samples: int):
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def finish(rows, sampler):
-        """rows: (doc_id, text, text of the next); the last next text also gets a fingerprint."""
-        texts = [t for _, t, _ in rows]
+        """rows: (doc_id, text, text of the next), which is the next row's text or, at the end of a range, one of its own."""
+        texts, places, nexts = [], [], []
+        for k, (_, text, following) in enumerate(rows):
+            places.append(len(texts))
+            texts.append(text)
+            nexts.append(len(texts))
+            if k + 1 == len(rows) or rows[k + 1][1] is not following:
+                texts.append(following)
         changed = [edited(t, f) for _, t, f in rows]
-        made = sampler.fingerprints(texts + changed + [f for _, _, f in rows if f is not None])
-        n = len(rows)
+        made = sampler.fingerprints(texts + changed)
         cols = [[], [], [], [], [], [], []]
         for k, (doc_id, text, _) in enumerate(rows):
-            one, two, three = made[k], made[n + k], made[2 * n + k]
+            one, two, three = made[places[k]], made[len(texts) + k], made[nexts[k]]
             values = (doc_id, len(text), hashlib.sha256(changed[k].encode()).hexdigest(), _hex(one), _hex(two), likeness(one, two), likeness(one, three))
             for c, v in zip(cols, values, strict=True):
                 c.append(v)
