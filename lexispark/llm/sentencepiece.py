@@ -7,13 +7,15 @@ nat, which makes sums exact and runs agree.  Of equally cheap segmentations the
 from the end backwards.
 
 The Viterbi pass goes over a text left to right and keeps scores for the positions a piece can still reach (the longest
-piece bounds that window).  Whenever the backpointers of all surviving positions lead to one boundary, the ids before it
-are committed and forgotten.  No piece holds a space behind another character, so the boundary in front of a word always
-is such a point; ids of the stretch between two of these are remembered per worker, in a table that is emptied at a fixed
-number of entries.
-
-Defined results: a null text has null ids, an empty one no ids; repeated rows repeat; every string comes back from
-decoding exactly, the word-boundary mark itself and unknown scripts included.  Extra columns stay as they are.
+piece bounds that window).  As soon as the backpointers of all surviving positions lead to one boundary, the ids before it
+are committed and forgotten, and so is every backpointer that no surviving path uses.  (Where paths never meet, as in one
+letter repeated, the surviving ones are kept.)  No piece holds a space behind another character, so the boundary in front
+of a word always is such a point; the ids of a short stretch between two of these are remembered per worker, in a table
+that is emptied at a fixed number of entries.  All stretches, of any length, go through the one pass.
+
+Defined results: a null text has null ids, an empty one no ids; repeated rows repeat; very long texts are coded whole;
+every string comes back from decoding exactly, the word-boundary mark itself and unknown scripts included; an empty table
+gives an empty result.  Extra columns stay as they are, except that those named like a column that is added are replaced.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -33,8 +36,6 @@ from lexispark.llm.common import lists, slices, utf8
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Stretches that a worker remembers.
 REMEMBERED = 300_000
-#: Positions after which convergence is looked for; each search without success doubles the wait, so searching stays linear.
-STRIDE = 64
 _BYTE_COST = 20_000
 
 
@@ -78,80 +79,74 @@ class Vocabulary:
         return Vocabulary(rows)
 
 
-def viterbi(text: str, vocabulary: Vocabulary) -> list[int]:
-    """Ids of the cheapest segmentation of a text in which spaces are part of the pieces."""
-    table, n, out = vocabulary.prefixes, len(text), []
-    base, cost, back, wait = 0, {0: 0}, {}, STRIDE
+def viterbi(text: str, vocabulary: Vocabulary, commit: Callable[[list[int]], None] | None = None) -> list[int]:
+    """Ids of the cheapest segmentation of a text in which spaces are part of the pieces; commit takes them as they are committed.
+
+    Costs are held for the boundaries ahead that a piece reaches.  Of those behind, the ones on a cheapest path to one ahead
+    are kept: `heirs` counts the boundaries that follow one directly on such paths, `sums` adds up their places, and a
+    boundary without heirs is forgotten.  As soon as the last committed boundary has one heir, all surviving paths go
+    through that, and it is committed.
+    """
+    get, n, ids = vocabulary.prefixes.get, len(text), []
+    commit = commit or ids.extend
+    cost, before, piece, heirs, sums, base = {0: 0}, {}, {}, {0: 0}, {0: 0}, 0
+
+    def release(k: int, heir: int) -> None:
+        while True:
+            heirs[k] -= 1
+            sums[k] -= heir
+            if heirs[k] or k >= i:
+                return
+            del heirs[k], sums[k], piece[k]
+            heir, k = k, before.pop(k)
+
+    def spelled(k: int, j: int) -> list[int]:
+        return [piece[j]] if piece[j] >= 0 else [vocabulary.bytes[b] for b in text[k:j].encode("utf-8", "surrogatepass")]
+
     for i in range(n):
-        if i - base >= wait:
-            heads = {j for j in cost if j >= i}
-            while len(heads) > 1:
-                top = max(heads)
-                heads.remove(top)
-                heads.add(back[top][0])
-            point = heads.pop()
-            wait = STRIDE if point > base else 2 * wait
-            if point > base:
-                out += _path(back, base, point)
-                base = point
-                cost = {j: c for j, c in cost.items() if j >= min(base, i)}
-                back = {j: b for j, b in back.items() if j > base}
-        if i not in cost:
+        here = cost.pop(i, None)
+        if here is None:
             continue
-        here, single = cost[i], False
-        for j in range(i + 1, n + 1):
-            found = table.get(text[i:j])
+        heirs[i] = sums[i] = 0
+        j, single = i + 1, False
+        while True:
+            found = get(text[i:j]) if j <= n else None
+            if found is not None and found[0] >= 0:
+                price, name = here + found[1], found[0]
+                single |= j == i + 1
+            elif found is None and not single:  # spelled by bytes, after all pieces
+                price, name, j, single = here + _BYTE_COST * len(text[i].encode("utf-8", "surrogatepass")), -1, i + 1, True
+                found = None
+            elif found is None:
+                break
+            else:
+                j += 1
+                continue
+            if j not in cost or price < cost[j]:
+                if j in cost:
+                    release(before[j], j)
+                cost[j], before[j], piece[j] = price, i, name
+                heirs[i] += 1
+                sums[i] += j
             if found is None:
                 break
-            if found[0] >= 0:
-                single |= j == i + 1
-                if j not in cost or here + found[1] < cost[j]:
-                    cost[j], back[j] = here + found[1], (i, (found[0],))
-        if not single:
-            spelled = text[i].encode("utf-8", "surrogatepass")
-            price = here + _BYTE_COST * len(spelled)
-            if i + 1 not in cost or price < cost[i + 1]:
-                cost[i + 1], back[i + 1] = price, (i, tuple(vocabulary.bytes[b] for b in spelled))
-    return out + _path(back, base, n)
-
-
-def viterbi_short(text: str, vocabulary: Vocabulary) -> list[int]:
-    """The same for a stretch within one window, without the search for convergence."""
-    get, n = vocabulary.prefixes.get, len(text)
-    cost, start, last = [1 << 60] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
-    cost[0] = 0
-    for i in range(n):
-        here, j, single = cost[i], i + 1, False
-        if here == 1 << 60:
-            continue
-        while j <= n and (found := get(text[i:j])) is not None:
-            if found[0] >= 0:
-                if here + found[1] < cost[j]:
-                    cost[j], start[j], last[j] = here + found[1], i, found[0]
-                if j == i + 1:
-                    single = True
             j += 1
-        if not single:
-            price = here + _BYTE_COST * len(text[i].encode("utf-8", "surrogatepass"))
-            if price < cost[i + 1]:
-                cost[i + 1], start[i + 1], last[i + 1] = price, i, -1
-    out = []
-    while n:
-        if last[n] >= 0:
-            out.append(last[n])
-        else:
-            out += [vocabulary.bytes[b] for b in reversed(text[start[n] : n].encode("utf-8", "surrogatepass"))]
-        n = start[n]
-    out.reverse()
-    return out
-
-
-def _path(back: dict, start: int, end: int) -> list[int]:
-    steps = []
-    while end > start:
-        end, ids = back[end]
-        steps.append(ids)
-    return [i for ids in reversed(steps) for i in ids]
+        if i and not heirs[i]:
+            k = before.pop(i)
+            del heirs[i], sums[i], piece[i]
+            release(k, i)
+        while heirs[base] == 1 and sums[base] <= i:
+            j = sums.pop(base)
+            commit(spelled(base, j))
+            del heirs[base], before[j], piece[j]
+            base = j
+    steps, j = [], n
+    while j > base:
+        steps.append(spelled(before[j], j))
+        j = before[j]
+    for step in reversed(steps):
+        commit(step)
+    return ids
 
 
 class _Stretches(dict):
@@ -164,8 +159,7 @@ class _Stretches(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        search = viterbi_short if len(word) < STRIDE else viterbi
-        ids = array("i", search(self.front + word, self.vocabulary)).tobytes()
+        ids = array("i", viterbi(self.front + word, self.vocabulary)).tobytes()
         if len(word) <= 64:
             self[word] = ids
         return ids

@@ -39,6 +39,21 @@ def test_long_stretch_is_committed_in_parts():
     assert cost(viterbi(text, V)) == cheapest(text)
 
 
+def test_ids_are_committed_as_paths_meet():
+    """No more ids are held back than a few windows hold, at any length."""
+    text, out, lags = "abcdefghij" * 500, [], []
+
+    class Watched(str):
+        def __getitem__(self, at):
+            if isinstance(at, slice) and at.stop == at.start + 1:
+                lags.append(at.start - sum(len(PIECES[i]) for i in out))
+            return str.__getitem__(self, at)
+
+    viterbi(Watched(text), V, out.extend)
+    assert out == viterbi(text, V) and len(lags) >= len(text) and max(lags) <= 4 * V.longest
+    assert viterbi("", V) == []
+
+
 def test_frame(spark, docs):
     rows = [(1, "Hello  world\n▁"), (2, None), (3, ""), (3, ""), (4, "x" * 70_000)]
     frame = docs(rows).withColumnRenamed("lang", "ids")
