@@ -66,3 +66,21 @@ def test_clashing_columns(spark, docs):
     m = L.fit(list(TEXTS.items()))
     out = L.predict(docs([(1, TEXTS["de"])]).withColumn("score", F.lit("x")), m).first()
     assert out.lang_pred == "de" and isinstance(out.score, float)
+
+
+def test_letters_are_of_category_l():
+    from lexispark.llm.langid import letters
+
+    assert letters("½ ² Ⅷ ৹ 12 ٣ _ 漢") == [" 漢"] and letters("aⅧb½") == [" a", " b"]
+
+
+def test_words_of_any_length_are_summed_alike():
+    from lexispark.llm.langid import Edges, long_word
+
+    m = L.fit([("en", "the cat sat on the mat"), ("de", "die katze sitzt auf der matte " + "x" * 500)])
+    words = [" cat", " " + "漢" * 46, " thecatsatonthematthecatsatonthematthecatsatont"]
+    lattice = Edges(words, m.vocabulary.prefixes, len(m.p) - 1)
+    assert lattice.longest <= 48
+    for w, a in zip(words, m.words(words), strict=True):
+        assert np.allclose(a, long_word(w, m.vocabulary.prefixes, m.p, len(m.p) - 1), rtol=1e-9)
+    assert np.isfinite(m.words([" " + "漢" * 48, " " + "漢" * 4000])).all()
