@@ -4,38 +4,52 @@ Sources in code-point order, null last, have weights 1, 2, 3, repeating.  They s
 stops at three times its source's size, and what is over goes to the others by weight until none is above (the level t
 with sum of min(cap, t weight) = total, found by running sums over the sources in order of cap / weight).
 
-Entropy balancing looks for document rates w that meet every source's token constraint, sum of w size = target, and stay
-nearest to 1 in relative entropy taken over tokens: sum of size (w log w - w + 1).  The convex dual is
-sum of size exp(lambda) - lambda target over the sources' multipliers, and w = exp(lambda).  Newton steps use the
-gradient and the Hessian summed over the corpus.  (Relative entropy over documents would tilt by length: long documents
-would be dropped from a source that shrinks and tripled in one that grows.)
+Entropy balancing looks for document rates w between 0 and MOST_COPIES that meet every source's token constraint, sum of
+w size = target, and stay nearest to the base rate 1 in relative entropy, sum of w log w - w + 1 over the documents.  The
+solution tilts documents exponentially in their tokens: w = min(MOST_COPIES, exp(lambda x)) with one multiplier a source
+and x the size over the source's mean size.  The multipliers minimise the convex dual, whose gradient is the words taken
+less the target and whose Hessian (diagonal, as each document has one source) is the sum of x size w over the documents
+below the cap.  Newton steps use both, summed over the corpus; a step that leaves the bracket known so far is replaced by
+the bracket's middle, or by doubling while a side of it is open.  So where a source shrinks, its long documents are taken
+less often than its short ones, and where it grows, more often.
 
 Rates are rounded into whole copies for each source and size: running sums of the expected copies from long to short
 documents are rounded, so each source's documents of all lengths get their share; then the error in words that is left is
-paid off by single copies, those of nearest size first.  Within a size, a hash of the id decides who gets the odd copy.
+paid off by single copies, those of nearest size first, until none makes it smaller.  Within a size, a hash of the id
+decides who gets the odd copy.
 
 Defined results: null and empty texts have size 0 and take 0 words; a source without words has target 0; a table without
-words has targets 0.  Rows that repeat count and are drawn one by one.  Extra columns are ignored.
+words has targets 0, an empty one gives no rows; very long texts are counted whole; rows that repeat, and rows with a null
+id, count and are drawn one by one; ties in the hash go by id.  Extra columns are ignored by `entropy_mix` and kept by
+`mixed`, whatever their names.  A task holds one row for each source, when sources are put in order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexispark.llm.common import WORD, Scratch
 
 MOST_COPIES = 3
-STEPS = 40
-TOLERANCE = 1e-12
-REPAIRS = 12
+#: Newton steps at most, and the error in words, as a share of the target, that ends them.
+STEPS = 60
+TOLERANCE = 1e-9
 #: Documents of one source and size that are ranked together.
 TOGETHER = 1000
 
 
 def sizes(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    count = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), count.alias("size"))
+    count = F.coalesce(F.regexp_count(F.col(f"`{text_col}`").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    return docs.select(
+        F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").cast("string").alias("source"), count.alias("size"), _key(id_col, source_col, text_col).alias("key")
+    )
+
+
+def _key(id_col: str, source_col: str, text_col: str) -> Column:
+    """A 64-bit name of a row's id, source and text."""
+    doc_id, source, text = F.col(f"`{id_col}`"), F.col(f"`{source_col}`").cast("string"), F.col(f"`{text_col}`").cast("string")
+    return F.xxhash64(doc_id, source, text, doc_id.isNull(), source.isNull())
 
 
 def targets(classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -58,25 +72,53 @@ def targets(classes: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def multipliers(classes: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
-    """Newton on the dual -> source, source_size, target, rate."""
-    state = scratch.table(wanted.withColumn("lambda", F.lit(0.0)))
+    """Newton on the dual -> source, source_size, target, mean, lambda (infinite where the cap is the target)."""
+    mean = classes.where("size > 0").groupBy("source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean")).withColumnRenamed("source", "_s")
+    start = wanted.join(mean, wanted["source"].eqNullSafe(mean["_s"]), "left").drop("_s")
+    infinite = F.lit(float("inf"))
+    full = F.col("target") >= MOST_COPIES * F.col("source_size") * (1 - TOLERANCE)
+    first = F.when(F.col("target") <= 0, -infinite).when(full, infinite).otherwise(F.lit(0.0))
+    state = start.withColumn("lambda", first).withColumn("_low", -infinite).withColumn("_high", infinite).withColumn("_open", F.abs(first) != infinite)
+    state = scratch.table(state)
     for _ in range(STEPS):
-        now = state.select(F.col("source").alias("_s"), "lambda")
-        terms = classes.join(now, classes["source"].eqNullSafe(now["_s"]))
-        sums = terms.groupBy("_s").agg(F.sum(F.col("n") * F.col("size") * F.exp("lambda")).alias("_taken"))
-        gradient, hessian = F.col("_taken") - F.col("target"), F.col("_taken")
-        step = F.when((F.col("target") > 0) & (F.col("_taken") > 0), gradient / hessian).otherwise(0.0)
-        new = scratch.table(
+        now = state.where("_open").select(F.col("source").alias("_s"), "mean", "lambda")
+        x, tokens = F.col("size") / F.col("mean"), F.col("size") * F.col("n")
+        tilt = F.exp(F.least(F.col("lambda") * x, F.lit(700.0)))
+        sums = classes.join(now, classes["source"].eqNullSafe(now["_s"])).groupBy("_s").agg(
+            F.sum(tokens * F.least(tilt, F.lit(float(MOST_COPIES)))).alias("_taken"),
+            F.sum(F.when(tilt < MOST_COPIES, tokens * x * tilt).otherwise(0.0)).alias("_hessian"),
+        )
+        gradient = F.col("_taken") - F.col("target")
+        done = F.abs(gradient) <= TOLERANCE * F.col("target")
+        low = F.when(gradient < 0, F.col("lambda")).otherwise(F.col("_low"))
+        high = F.when(gradient > 0, F.col("lambda")).otherwise(F.col("_high"))
+        step = F.when(F.col("_hessian") > 0, F.col("lambda") - gradient / F.col("_hessian"))
+        # The middle of the bracket; beyond its known side while the other one is open.
+        middle = (
+            F.when(F.col("_new_low") == -infinite, F.col("_new_high") - 1 - F.abs("_new_high"))
+            .when(F.col("_new_high") == infinite, F.col("_new_low") + 1 + F.abs("_new_low"))
+            .otherwise((F.col("_new_low") + F.col("_new_high")) / 2)
+        )
+        inside = step.isNotNull() & (step > F.col("_new_low")) & (step < F.col("_new_high")) & (F.abs(step - F.col("lambda")) <= 1 + F.abs("lambda"))
+        new = (
             state.join(sums, state["source"].eqNullSafe(sums["_s"]), "left")
-            .withColumn("_step", step)
-            .select("source", "source_size", "target", (F.col("lambda") - F.col("_step")).alias("lambda"), "_step")
+            .drop("_s")
+            .withColumn("_new_low", F.when(F.col("_taken").isNull(), F.col("_low")).otherwise(low))
+            .withColumn("_new_high", F.when(F.col("_taken").isNull(), F.col("_high")).otherwise(high))
+            .withColumn("_still", F.col("_open") & F.col("_taken").isNotNull() & ~done & (F.col("_new_high") - F.col("_new_low") > 1e-13))
+            .withColumn("lambda", F.when(F.col("_still"), F.when(inside, step).otherwise(middle)).otherwise(F.col("lambda")))
+            .select("source", "source_size", "target", "mean", "lambda", F.col("_new_low").alias("_low"), F.col("_new_high").alias("_high"), F.col("_still").alias("_open"))
         )
-        scratch.drop(state)
-        state = new
-        if state.where(F.abs("_step") > TOLERANCE).isEmpty():
+        state = scratch.table(new)
+        if state.where("_open").isEmpty():
             break
-    rate = F.when(F.col("target") > 0, F.least(F.exp("lambda"), F.lit(float(MOST_COPIES)))).otherwise(0.0)
-    return scratch.table(state.select("source", "source_size", "target", rate.alias("rate")))
+    return state.select("source", "source_size", "target", "mean", "lambda")
+
+
+def rate(size: Column) -> Column:
+    """The tilted rate of a document; needs mean and lambda."""
+    tilt = F.exp(F.least(F.col("lambda") * size / F.col("mean"), F.lit(700.0)))
+    return F.when((size <= 0) | (F.col("target") <= 0), F.lit(0.0)).otherwise(F.least(tilt, F.lit(float(MOST_COPIES))))
 
 
 def copies_by_size(classes: DataFrame, rates: DataFrame, scratch: Scratch) -> DataFrame:
@@ -88,13 +130,14 @@ def copies_by_size(classes: DataFrame, rates: DataFrame, scratch: Scratch) -> Da
     now = (
         classes.join(r, classes["source"].eqNullSafe(r["_s"]))
         .drop("_s")
+        .withColumn("rate", rate(F.col("size")))
         .withColumn("_upto", rounded)
         .withColumn("copies", F.col("_upto") - F.coalesce(F.lag("_upto").over(run), F.lit(0)))
         .withColumn("copies", F.greatest(F.lit(0), F.least("copies", F.col("n") * MOST_COPIES)).cast("long"))
         .select("source", "size", "n", "source_size", "target", "copies")
     )
     now = scratch.table(now)
-    for _ in range(REPAIRS):
+    while True:
         error = now.groupBy("source").agg((F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("error"))
         error = error.withColumnRenamed("source", "_s")
         with_error = now.join(error, now["source"].eqNullSafe(error["_s"])).drop("_s")
@@ -119,39 +162,43 @@ def copies_by_size(classes: DataFrame, rates: DataFrame, scratch: Scratch) -> Da
     return now
 
 
-def entropy_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """docs -> doc_id, source, size, source_size, target, copies."""
-    scratch = Scratch(docs.sparkSession, "mixing")
+def entropy_mix(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", scratch: Scratch | None = None
+) -> DataFrame:
+    """docs -> doc_id, source, size, key (a hash of id, source and text), source_size, target, copies; a row for each row."""
+    scratch = scratch or Scratch(docs.sparkSession, "mixing")
     sized = scratch.table(sizes(docs, id_col, source_col, text_col))
     classes = scratch.table(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
-    rates = multipliers(classes, targets(classes, scratch), scratch)
-    shares = copies_by_size(classes, rates, scratch)
-    shares = shares.select(F.col("source").alias("_s"), F.col("size").alias("_size"), "n", "source_size", "target", "copies")
-    rows = sized.join(shares, sized["source"].eqNullSafe(shares["_s"]) & (sized["size"] == shares["_size"])).drop("_s", "_size")
-    rows = rows.withColumn("_hash", F.xxhash64(F.lit("odd copy"), "doc_id"))
+    found = multipliers(classes, targets(classes, scratch), scratch)
+    shares = copies_by_size(classes, found, scratch)
+    shares = shares.select(F.col("source").alias("_s"), F.col("size").alias("_size"), "n", "source_size", "target", "copies").hint("merge")
+    rows = sized.join(shares, sized["source"].eqNullSafe(F.col("_s")) & (sized["size"] == F.col("_size"))).drop("_s", "_size")
+    rows = rows.withColumn("_hash", F.xxhash64(F.lit("odd copy"), "key"))
     rows = rows.withColumn("_part", F.pmod("_hash", F.floor(F.col("n") / TOGETHER) + 1))
     group = ["source", "size"]
     counts = rows.groupBy(*group, "_part").agg(F.count("*").alias("_count"))
     upto = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     start = counts.withColumn("_start", F.coalesce(F.sum("_count").over(upto), F.lit(0)))
-    start = scratch.table(start.select(F.col("source").alias("_s"), F.col("size").alias("_size"), F.col("_part").alias("_p"), "_start"))
+    start = scratch.table(start.select(F.col("source").alias("_s"), F.col("size").alias("_size"), F.col("_part").alias("_p"), "_start")).hint("merge")
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*group, "_part").orderBy("_hash", "doc_id")))
     ranked = ranked.join(
-        start, ranked["source"].eqNullSafe(start["_s"]) & (ranked["size"] == start["_size"]) & (ranked["_part"] == start["_p"])
+        start, ranked["source"].eqNullSafe(F.col("_s")) & (ranked["size"] == F.col("_size")) & (ranked["_part"] == F.col("_p"))
     )
     odd = (F.col("_start") + F.col("_rank") <= F.col("copies") % F.col("n")).cast("long")
     each = F.floor(F.col("copies") / F.col("n")).cast("long") + odd
-    return ranked.select("doc_id", "source", "size", "source_size", "target", each.alias("copies"))
-
-
-def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """docs -> its rows, each as often as the mix takes it.
-
-    doc_id names a document; rows may repeat it whole.  Rows with a null doc_id can't be told apart and stay once.
-    """
-    plan = entropy_mix(docs, id_col, source_col, text_col).where("copies > 0")
-    plan = plan.groupBy(F.col("doc_id").alias("__mix_id")).agg(F.sum("copies").alias("__mix_copies"))
-    once = docs.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    taken = once.join(plan, once[id_col] == plan["__mix_id"]).drop("__mix_id")
-    taken = taken.withColumn("__mix_k", F.explode(F.sequence(F.lit(1), F.col("__mix_copies").cast("int")))).drop("__mix_k", "__mix_copies")
-    return taken.unionByName(docs.where(F.col(id_col).isNull()))
+    return ranked.select("doc_id", "source", "size", "key", "source_size", "target", each.alias("copies"))
+
+
+def mixed(
+    docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", scratch: Scratch | None = None
+) -> DataFrame:
+    """docs -> its rows, each as often as the mix takes it; rows with one id, source and text share what is taken of them."""
+    plan = entropy_mix(docs, id_col, source_col, text_col, scratch)
+    plan = plan.groupBy(F.col("key").alias("__mix_key")).agg(F.sum("copies").alias("__mix_copies"), F.count("*").alias("__mix_n")).where("__mix_copies > 0")
+    keyed = docs.withColumn("__mix_of", _key(id_col, source_col, text_col))
+    joined = keyed.join(plan.hint("merge"), F.col("__mix_of") == F.col("__mix_key"))
+    rank = F.row_number().over(Window.partitionBy("__mix_of").orderBy(F.xxhash64(*[f"`{c}`" for c in docs.columns])))
+    odd = (rank <= F.col("__mix_copies") % F.col("__mix_n")).cast("long")
+    each = F.floor(F.col("__mix_copies") / F.col("__mix_n")).cast("int") + odd.cast("int")
+    drawn = joined.withColumn("__mix_each", each).where("__mix_each > 0").withColumn("__mix_k", F.explode(F.sequence(F.lit(1), F.col("__mix_each"))))
+    return drawn.select(*[f"`{c}`" for c in docs.columns])

@@ -1,10 +1,11 @@
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from lexispark.llm.common import Scratch
-from lexispark.llm.mixing import entropy_mix, mixed, multipliers, targets
+from lexispark.llm.mixing import entropy_mix, mixed, multipliers, rate, targets
 
 
 def expected(own):
@@ -49,11 +50,54 @@ def test_targets_rates_and_copies(spark, docs):
     assert got == {i: c for i, c in plan.items() if c}
 
 
-def test_newton_meets_the_constraints(spark):
-    classes = spark.createDataFrame([("a", 10, 5), ("a", 3, 7), ("b", 4, 100)], "source string, size long, n long")
+def tilted(sizes, target):
+    """Rates nearest to 1 in relative entropy, between 0 and 3, that meet the target: by bisection on the one multiplier."""
+    mean = sum(sizes) / len(sizes)
+    low, high = -1e4, 1e4
+    for _ in range(300):
+        mid = (low + high) / 2
+        w = [min(3.0, math.exp(min(700, mid * x / mean))) for x in sizes]
+        low, high = (mid, high) if sum(a * x for a, x in zip(w, sizes)) < target else (low, mid)
+    return w
+
+
+def test_newton_finds_the_optimum(spark):
+    r = random.Random(2)
+    own = {"a": [r.randrange(1, 900) for _ in range(60)], "b": [7] * 9, "c": [1, 2, 3, 4000], "d": [5, 50, 500] * 40, "e": [0, 3, 9]}
+    rows = [(s, x, own[s].count(x)) for s in own for x in sorted(set(own[s]))]
+    classes = spark.createDataFrame(rows, "source string, size long, n long")
     scratch = Scratch(spark, "t")
-    for x in multipliers(classes, targets(classes, scratch), scratch).collect():
-        assert x.rate * x.source_size == pytest.approx(x.target)
+    goals = expected({s: sum(v) for s, v in own.items()})
+    found = multipliers(classes, targets(classes, scratch), scratch)
+    out = classes.join(found, "source").withColumn("rate", rate(F.col("size"))).collect()
+    assert len(out) == len(rows)
+    for s, sizes in own.items():
+        sizes = [x for x in sizes if x]
+        best = dict(zip(sizes, tilted(sizes, goals[s]), strict=True))
+        for x in out:
+            if x.source == s and x["size"]:
+                assert x.rate == pytest.approx(best[x["size"]], rel=1e-5, abs=1e-9), (s, x)
+        # Moving words between two documents, so that the target is still met, takes the rates further from 1.
+        w = list(best.items())
+        def off(v):
+            return sum(y * math.log(y) - y + 1 if y > 0 else 1 for y in v)
+        for (x, p), (y, q) in zip(w, w[1:]):
+            for step in (1e-4, -1e-4):
+                p2, q2 = p + step / x, q - step / y
+                if 0 <= p2 <= 3 and 0 <= q2 <= 3:
+                    assert off([p2, q2]) * 1 >= off([p, q]) - 1e-7
+    shrinks = sorted((x["size"], x.rate) for x in out if x.source == "a")
+    assert goals["a"] < sum(own["a"]) and [w for _, w in shrinks] == sorted((w for _, w in shrinks), reverse=True)
+
+
+def test_repeated_and_missing_ids_are_mixed(spark, docs):
+    data = [(1, "a b c", None, "x"), (1, "d e", None, "x"), (None, "f g h", None, "x"), (None, "f g h", None, "x"), (2, "i", None, "y"), (3, None, None, "y")]
+    frame = docs(data).withColumn("key", F.lit("k")).withColumn("copies", F.lit(9))
+    plan = entropy_mix(frame)
+    assert plan.count() == len(data)
+    wanted = sum(x.copies * x.size for x in plan.collect())
+    out = mixed(frame)
+    assert out.columns == frame.columns and sum(len((x.text or "").split()) for x in out.collect()) == wanted > 0
 
 
 def test_edges(spark, docs):
