@@ -12,8 +12,10 @@ tried.  So most seeds make one pair however common they are, and lines go or sta
 A line stays where every alignment has it out of order.
 
 Defined results: a text of which all lines with words go becomes empty; null and empty texts stay; rows that repeat a
-doc_id never count as later than each other, so equal rows stay equal; rows with a null doc_id stay as they are.  Extra
-columns stay as they are.  Lines are known by 64-bit hashes.
+doc_id never count as later than each other, so equal rows stay equal; rows with a null doc_id, and those of an id that has
+different texts, stay as they are, and nothing goes because of them; very long texts are aligned whole; an empty table
+gives an empty result.  Extra columns stay as they are, except that columns named n_lines and n_removed are replaced.
+Lines are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -205,18 +207,20 @@ def _without(text_at: int, names: list[str]):
     return run
 
 
-def line_dedup(docs: DataFrame, rare_words: int = RARE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(
+    docs: DataFrame, rare_words: int = RARE_WORDS, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None
+) -> DataFrame:
     """docs -> the same columns with the later copies of aligned lines gone, n_lines and n_removed."""
-    scratch = Scratch(docs.sparkSession, "lines")
+    scratch = scratch or Scratch(docs.sparkSession, "lines")
     split = F.split(F.col(f"`{text_col}`").cast("string"), "\n", -1)
-    lines = docs.where(F.length(text_col) > 0).select(
+    lines = docs.where(F.length(f"`{text_col}`") > 0).select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.transform(split, lambda x: F.xxhash64(x)).alias("lines"),
         F.transform(split, lambda x: F.regexp_count(x, F.lit(WORD))).alias("words"),
     )
-    lines = scratch.table(lines.where("doc_id is not null"))
-    once = lines.groupBy("doc_id").agg(F.first("lines").alias("lines"), F.first("words").alias("words"))
-    once = scratch.table(once.withColumn("whole", F.xxhash64("lines", F.size("lines"))))
+    lines = lines.where("doc_id is not null").withColumn("whole", F.xxhash64("lines", F.size("lines")))
+    once = lines.groupBy("doc_id").agg(F.first("lines").alias("lines"), F.first("words").alias("words"), F.min("whole").alias("whole"), F.max("whole").alias("_other"))
+    once = scratch.table(once.where("whole = _other").drop("_other"))
     firsts = once.groupBy("whole").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last").select("whole", "first")
     seeded = once.where("exists(words, x -> x > 0)").select("doc_id", "whole", F.size("lines").alias("n"))
     copies = scratch.table(seeded.join(firsts, "whole").where("doc_id > first").select("doc_id", "n"))
@@ -244,7 +248,7 @@ def line_dedup(docs: DataFrame, rare_words: int = RARE_WORDS, id_col: str = "doc
     kept = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_removed")]
     docs = docs.select(*[f"`{f.name}`" for f in kept])
     # Sorted and merged at every size: what is gone grows with the input.
-    joined = docs.join(gone.hint("merge"), docs[id_col].cast("long") == gone["__gone_id"], "left").drop("__gone_id")
+    joined = docs.join(gone.hint("merge"), F.col(f"`{id_col}`").cast("long") == F.col("__gone_id"), "left").drop("__gone_id")
     schema = StructType(kept + [StructField("n_lines", LongType()), StructField("n_removed", LongType())])
     names = [f.name for f in kept]
     return joined.mapInArrow(_without(names.index(text_col), names), schema)
