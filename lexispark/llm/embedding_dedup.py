@@ -10,8 +10,9 @@ point by point in double precision.  So pairs are exact, and no unit holds more
 for each vector that has links there: how many, and the smallest id that its links reach there.
 
 Defined results: a vector that is null, empty or zero, or has null or non-finite components, links with nothing, as does
-one without a label or with another length than its fellow's.  Rows that repeat a vec_id are one vector.  Extra columns
-are ignored.
+one without a label or with another length than its fellow's.  Rows that repeat a vec_id are one vector, the least label
+and vector of theirs.  Very long vectors are compared whole; an empty table gives an empty result; extra columns, of any
+name, are ignored.
 """
 
 from __future__ import annotations
@@ -132,7 +133,7 @@ def _least(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
 
 def _block(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("vec_id")
-    data = np.stack(pdf["embedding"].to_numpy()).astype(np.float32)
+    data = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
     return pd.DataFrame(
         {"label": [pdf["label"].iloc[0]], "width": [data.shape[1]], "n_blocks": [pdf["n_blocks"].iloc[0]], "block": [pdf["block"].iloc[0]],
          "ids": [pdf["vec_id"].to_numpy(np.int64).tobytes()], "data": [data.tobytes()]}
@@ -140,7 +141,7 @@ def _block(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _unit(row) -> tuple[np.ndarray, CoverTree]:
-    x = np.frombuffer(row.data, np.float32).reshape(-1, row.width).astype(np.float64)
+    x = np.frombuffer(row.data, np.float64).reshape(-1, row.width)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return np.frombuffer(row.ids, np.int64), CoverTree(x / np.linalg.norm(x, axis=1, keepdims=True))
 
@@ -174,11 +175,12 @@ def _traversed(threshold: float):
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """vectors(vec_id, embedding, label) -> vec_id, n_links, component_id, kept."""
     scratch = Scratch(vectors.sparkSession, "vectors")
-    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<float>").alias("embedding"))
+    whole = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", F.col("embedding").cast("array<double>").alias("embedding"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
     fit = whole.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & some & ~bad)
-    fit = scratch.table(fit.withColumn("width", F.size("embedding")).dropDuplicates(["vec_id"]))
+    least = F.min(F.struct("label", F.size("embedding").alias("width"), "embedding")).alias("_v")
+    fit = scratch.table(fit.groupBy("vec_id").agg(least).select("vec_id", "_v.*"))
     counts = fit.groupBy(F.col("label").alias("_l"), F.col("width").alias("_w")).agg(F.ceil(F.count("*") / block).alias("n_blocks"))
     counts = scratch.table(counts)
     dealt = fit.join(counts, (F.col("label") == F.col("_l")) & (F.col("width") == F.col("_w")))

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -64,3 +66,12 @@ def test_frame_against_brute_force(spark):
         else:
             assert (v.n_links, v.component_id, v.kept) == (0, v.vec_id, True)
     assert near_vectors(frame.limit(0)).count() == 0
+
+
+def test_double_precision(spark):
+    """Cosines that differ only beyond single precision, and components beyond its range."""
+    a, b = [1e300, 1e299], [2e300, 2e299]
+    x = math.sqrt(1 - 0.93**2) / 0.93
+    rows = [(1, a, 0), (2, b, 0), (3, [1.0, 0.0], 1), (4, [1.0, x * (1 - 1e-11)], 1), (5, [1.0, 0.0], 2), (6, [1.0, x * (1 + 1e-11)], 2)]
+    out = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert out == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (0, 6)}
