@@ -64,5 +64,5 @@ def test_gradient():
 
 
 def test_windows_cover_a_long_candidate():
-    seen = S.views("y" * 500, 0, 500)
+    seen = list(S.views("y" * 500, 0, 500))
     assert sum(sum(m) for _, m in seen) >= 500
