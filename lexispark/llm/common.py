@@ -41,7 +41,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/lexispark-{name}-{uuid.uuid4().hex}"
+        self.name = f"lexispark-{name}-{uuid.uuid4().hex}"
+        self.root = f"{shared_dir(spark)}/{self.name}"
         atexit.register(self._remove, self.root)
 
     def _remove(self, path: str) -> None:
@@ -61,9 +62,16 @@ class Scratch:
         return out
 
     def drop(self, *tables: DataFrame | None) -> None:
+        """Removes tables; shuffle files that nothing refers to go with them, as Spark only sees to these when the driver's JVM collects."""
         for t in tables:
             if t is not None and getattr(t, "_scratch_path", None):
                 self._remove(t._scratch_path)
+        self.spark.sparkContext._jvm.System.gc()
+
+    def close(self) -> None:
+        """Removes all tables."""
+        self._remove(self.root)
+        self.spark.sparkContext._jvm.System.gc()
 
 
 # ---------------------------------------------------------------- Arrow
