@@ -2,19 +2,25 @@
 
 Sets are the distinct word shingles of a text.  Sizes fall in bands [l, r] with r = floor(l / threshold); two sets that
 reach the threshold lie in one band or in neighbouring ones, and their symmetric difference is at most
-k = floor(2 (1 - t) / (1 + t) r) for the upper band's r.  The hashed feature domain is cut into k + 1 + 2 m parts (PartEnum
-with n2 = 1, whose only subset to enumerate is each part itself): at most k of them can differ, so such sets agree on
-2 m + 1 parts at least, and a hash of a part's content is a signature.  Each set leaves out the signatures of its m
-emptiest parts, which would meet by chance; as the two sets leave out 2 m at most, one agreement always remains.  Every
-set gets the signatures of its own band and of the next one.
-
-Candidates are thinned by a parity sketch of each set (the bits in which two sketches differ are never more than the
-features in which the sets do) and then checked on the whole sets.
+k = floor(2 (1 - t) / (1 + t) r) for the upper band's r.  The hashed feature domain is cut into n = k // 2 + 1 + 2 m
+first-level parts.  Each part is cut into CELLS cells, and every subset of CELLS - 1 of them is enumerated; its content is
+a signature.  A part in which two sets don't differ has all its signatures equal, one with a single differing feature has
+one equal signature, so such sets have 2 n - k > 4 m equal signatures at least.  Each set leaves out its 2 m signatures of
+the least content, which would meet by chance; so one equal signature always remains.  Every set gets the signatures of
+its own band and of the next one.
+
+Sets that share a signature are candidates.  They aren't paired within a group: a group's members are checked with one
+centre, and groups whose members are then connected are done.  From the others go the sets whose features other components
+don't have (see `_bounded`); what is left is paired by rare features in which sets differ from their centre (see `_rest`).
+Checks compare whole sets; only a parity sketch (the bits in which two sketches differ are never more than the features in
+which the sets do) may rule out a pair before.  So every pair that links is either checked or inside one component already.
 
 Defined results: null, empty and blank texts have no shingles, are linked with nothing and are their own component;
-texts with fewer words than a shingle have the whole sequence as their one shingle; repeated rows and equal texts share a
-component; ties need no rule, as components take the smallest id.  Extra columns are ignored.  Shingles and whole sets
-are known by 64-bit hashes; the exact check compares the whole shingle sets.
+texts with fewer words than a shingle have the whole sequence as their one shingle; very long texts are taken whole;
+repeated rows and equal texts share a component; rows with one doc_id and different texts, and rows with a null doc_id,
+take part one by one, with their own set; a component's id is its smallest doc_id that isn't null, and null if it has
+none; ties need no rule; an empty table gives an empty result; extra columns, of any name, are ignored.  Shingles and
+whole sets are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -33,10 +39,12 @@ from lexispark.llm.graph import components
 
 SHINGLE = 5
 THRESHOLD = 80
-#: Pivots that a signature's group takes in one round.
-PIVOTS = 256
-#: Bits of a parity sketch.
-SKETCH = 2048
+#: Second-level parts of a first-level part.
+CELLS = 3
+#: Pairs with one centre that are checked together.
+TOGETHER = 256
+#: 64-bit words of the sketch that conditions of a join compare.
+SMALL = 16
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -91,55 +99,60 @@ class Bands:
     def of(self, size: int) -> int:
         while self.right[-1] < size:
             self.right.append(max(self.right[-1] + 1, math.floor((self.right[-1] + 1) / self.t)))
-        i = int(np.searchsorted(self.right, size))
-        return i
+        return int(np.searchsorted(self.right, size))
 
     def parts(self, band: int) -> tuple[int, int]:
-        """(parts, parts left out)"""
+        """(first-level parts, signatures left out)"""
         while len(self.right) <= band:
             self.of(self.right[-1] + 1)
         k = math.floor(2 * (1 - self.t) / (1 + self.t) * self.right[band])
-        m = (k + 6) // 12
-        return k + 1 + 2 * m, m
+        m = k // 24
+        return k // 2 + 1 + 2 * m, 2 * m
 
 
 def signatures(s: np.ndarray, bands: Bands) -> np.ndarray:
     """PartEnum signatures of one set of hashes."""
-    out = []
-    at = bands.of(len(s))
+    out, at = [], bands.of(len(s))
     place, low, high = mix(s ^ _STEP), (s & np.uint64(0xFFFFFFFF)).astype(np.float64), (s >> np.uint64(32)).astype(np.float64)
     for band in (at, at + 1):
         n, less = bands.parts(band)
-        part = (place % np.uint64(n)).astype(np.int64)
-        a = np.bincount(part, low, n).astype(np.uint64)
-        b = np.bincount(part, high, n).astype(np.uint64)
-        c = np.bincount(part, minlength=n).astype(np.uint64)
-        tag = np.uint64(band) * np.uint64(1 << 32) + np.arange(n, dtype=np.uint64)
-        sig = mix(mix(mix(tag) + a) * _STEP + mix(b * _STEP + c))
-        out.append(sig[np.argsort(c, kind="stable")[less:]])
+        cell = (place % np.uint64(n * CELLS)).astype(np.int64)
+        count = np.bincount(cell, minlength=n * CELLS).reshape(n, CELLS)
+        a, b = (np.bincount(cell, x, n * CELLS).astype(np.uint64).reshape(n, CELLS) for x in (low, high))
+        which = np.arange(CELLS, dtype=np.uint64)
+        content = mix(mix(mix(a + which) * _STEP + b) * _STEP + count.astype(np.uint64))
+        without = content.sum(1, keepdims=True) - content  # each subset of CELLS - 1 cells
+        tag = mix(np.uint64(band) * np.uint64(1 << 32) + np.arange(n, dtype=np.uint64))
+        sig = mix(without * _STEP + tag[:, None] + which).ravel()
+        emptiest = np.argsort((count.sum(1, keepdims=True) - count).ravel(), kind="stable")
+        out.append(sig[emptiest[less:]])
     return np.concatenate(out)
 
 
-def sketch(s: np.ndarray) -> bytes:
-    bits = np.bincount((mix(s + _STEP) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+def sketch(s: np.ndarray, bits: int = 0) -> np.ndarray:
+    """Parity of the features at each of so many bits, by default the power of two from 4 to 8 for each feature, 256 at least."""
+    bits = bits or max(256, 1 << (4 * len(s) - 1).bit_length())
+    odd = np.bincount((mix(s + _STEP) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> int:
+    """A lower bound of the symmetric difference, from two sketches."""
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def _sizes(width: int):
     def run(batches):
         for batch in batches:
             for i, s, n in shingle_sets(batch.column(1), width):
-                ends = np.cumsum(n)
-                sketches = [sketch(s[e - k : e]) for e, k in zip(ends, n, strict=True)]
-                names = np.where(n > 0, set_ids(s, n), 0)
-                # The same sketch with an eighth of the bits, for comparisons inside a join.
-                small = np.bitwise_xor.reduce(np.frombuffer(b"".join(sketches), np.int64).reshape(len(n), 8, -1), axis=1)
-                width4 = np.full(len(n), small.shape[1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, len(n)), pa.array(n, pa.int64()), pa.array(names, pa.int64()), pa.array(sketches, pa.binary()),
-                     lists(small.ravel(), width4, pa.int64())],
-                    names=["doc_id", "n_shingles", "set_id", "sketch", "small"],
-                )
+                    [batch.column(0).slice(i, len(n)), pa.array(n, pa.int64()), pa.array(np.where(n > 0, set_ids(s, n), 0), pa.int64())],
+                    names=["doc_id", "n_shingles", "set_id"],
+                )
 
     return run
 
@@ -168,157 +181,223 @@ def _signed(width: int, percent: int):
 def _sets(width: int):
     def run(batches):
         for batch in batches:
-            for i, s, n in shingle_sets(batch.column(1), width):
+            for _, s, n in shingle_sets(batch.column(0), width):
+                ends, some = np.cumsum(n), np.flatnonzero(n)
+                made = [sketch(s[ends[k] - n[k] : ends[k]]) for k in some]
+                bits = np.concatenate(made) if made else np.zeros(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, len(n)), lists(s.view(np.int64), n, pa.int64())], names=["set_id", "items"]
-                )
+                    [pa.array(set_ids(s, n)[some]), pa.array(n[some], pa.int64()), lists(s.view(np.int64), n[some], pa.int64()),
+                     lists(bits.view(np.int64), np.array([len(x) for x in made], np.int64), pa.int64())],
+                    names=["set_id", "n", "items", "sketch"],
+                )
 
     return run
 
 
-def _verified(percent: int):
+def _views(column: pa.Array) -> list[np.ndarray]:
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)
+    return [values[i:j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
+def _near(percent: int):
+    """Which pairs sizes and sketches let reach the threshold."""
+
     def run(batches):
         for batch in batches:
-            a, b = batch.column("items_a"), batch.column("items_b")
-            oa, ob = a.offsets.to_numpy(), b.offsets.to_numpy()
-            va, vb = a.values.to_numpy().view(np.uint64), b.values.to_numpy().view(np.uint64)
-            ok = np.zeros(len(a), bool)
-            for k in range(len(a)):
-                x, y = va[oa[k] : oa[k + 1]], vb[ob[k] : ob[k + 1]]
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    continue
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                same = int((y[at] == x).sum()) if len(y) else 0
-                ok[k] = 100 * same >= percent * (len(x) + len(y) - same)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok)], names=["a", "b", "linked"])
+            n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            ok = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+            one, two = _views(batch.column("sketch_a")), _views(batch.column("sketch_b"))
+            for k in np.flatnonzero(ok):
+                ok[k] = (100 + percent) * apart(one[k], two[k]) <= (100 - percent) * (n[k] + m[k])
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok)], names=["a", "b", "near"])
 
     return run
 
 
-def _near(percent: int):
+def _compared(percent: int, differences: bool):
+    """Links of pairs of whole sets; differences: also b's size, the features that only one of the two has, and a sketch of b."""
+
     def run(batches):
         for batch in batches:
-            n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-            one = np.frombuffer(b"".join(batch.column("sketch_a").to_pylist()), np.uint64).reshape(len(n), -1)
-            two = np.frombuffer(b"".join(batch.column("sketch_b").to_pylist()), np.uint64).reshape(len(n), -1)
-            apart = np.bitwise_count(one ^ two).sum(1, dtype=np.int64)
-            ok = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * apart <= (100 - percent) * (n + m))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("weight"), pa.array(ok)], names=["a", "b", "weight", "near"])
+            ok, counts, parts, bits = np.zeros(len(batch), bool), np.zeros(len(batch), np.int64), [], []
+            for k, (x, y) in enumerate(zip(_views(batch.column("items_a")), _views(batch.column("items_b")), strict=True)):
+                only = np.setxor1d(x, y, assume_unique=True)
+                ok[k] = (100 + percent) * len(only) <= (100 - percent) * (len(x) + len(y))
+                if differences:
+                    counts[k] = len(only)
+                    parts.append(only)
+                    bits.append(sketch(y, SMALL * 64))
+            if differences:
+                delta = lists(np.concatenate(parts or [np.zeros(0, np.uint64)]).view(np.int64), counts, pa.int64())
+                small = lists(np.concatenate(bits or [np.zeros(0, np.uint64)]).view(np.int64), np.full(len(ok), SMALL), pa.int64())
+                out = [batch.column("a"), batch.column("b"), batch.column("n_b"), pa.array(ok), delta, small]
+                yield pa.RecordBatch.from_arrays(out, names=["g", "set_id", "n", "linked", "delta", "small"])
+            else:
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(ok)], names=["a", "b", "linked"])
 
     return run
 
 
-def _candidates(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Those pairs(a, b, weight) of set ids that sizes and sketches let reach the threshold."""
-    one = sketches.select(F.col("set_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    two = sketches.select(F.col("set_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "weight", "n_a", "n_b", "sketch_a", "sketch_b")
-    return joined.mapInArrow(_near(percent), "a long, b long, weight long, near boolean").where("near").select("a", "b", "weight")
+def _joined(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """pairs(a, b) with those columns of both sets; a set in many pairs as a is copied once for every TOGETHER of them."""
+    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / TOGETHER).alias("_n"))
+    salted = pairs.join(salts, "a").withColumn("_salt", F.pmod(F.xxhash64("b"), "_n")).drop("_n")
+    one = sets.select(F.col("set_id").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    one = one.join(salts, "a").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).drop("_n")
+    two = sets.select(F.col("set_id").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    return salted.join(two, "b").join(one, ["a", "_salt"]).drop("_salt")
+
+
+def _open(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Rows of the groups g whose members are in several components, with their component."""
+    rows = rows.drop("component").join(label.withColumnRenamed("node", "set_id"), "set_id", "left")
+    rows = rows.withColumn("component", F.coalesce("component", "set_id"))
+    return _several(rows, "g")
+
 
+def _several(rows: DataFrame, *key: str) -> DataFrame:
+    """Rows of the keys that several components share."""
+    ends = rows.groupBy(*key).agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    return rows.join(ends.where("_low <> _high").select(*key).hint("shuffle_hash"), [*key])
 
-def _check(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs(a, b) of set ids -> (a, b, linked)."""
-    one = sets.select(F.col("set_id").alias("a"), F.col("items").alias("items_a"))
-    two = sets.select(F.col("set_id").alias("b"), F.col("items").alias("items_b"))
-    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "items_a", "items_b")
-    return joined.mapInArrow(_verified(percent), "a long, b long, linked boolean")
+
+def _bounded(rows: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """rows(g, set_id, component) without the sets that can't link with another component's.
+
+    Such a link takes at least the threshold's share of a set's features, all of which another component among the rows
+    must have too.  What goes makes others' features unshared, so this is done until few go.
+    """
+    before = None
+    while True:
+        own = scratch.table(rows.select("set_id", "component").distinct())
+        n = own.count()
+        if before is not None and n >= 0.9 * before:
+            scratch.drop(own)
+            return rows
+        before = n
+        items = sets.join(own, "set_id").select("set_id", "component", F.explode("items").alias("item"))
+        able = _several(items, "item").groupBy("set_id").agg(F.count("*").alias("_shared")).join(sets.select("set_id", "n"), "set_id")
+        able = able.where(100 * F.col("_shared") >= percent * F.col("n")).select("set_id")
+        new = scratch.table(_several(rows.join(able, "set_id"), "g"))
+        scratch.drop(own, rows)
+        rows = new
+
+
+def _stars(rows: DataFrame, weight: DataFrame) -> DataFrame:
+    """(centre, set_id) of all but the centre of each group g: the member of the largest weight(set_id, weight), then id."""
+    centre = rows.join(weight, "set_id").groupBy("g").agg(F.max(F.struct("weight", "set_id")).alias("_c"))
+    return rows.join(centre.select("g", F.col("_c.set_id").alias("centre")), "g").where("centre <> set_id").select("centre", "set_id").distinct()
+
+
+def _rest(rows: DataFrame, weight: DataFrame, sets: DataFrame, label: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Components after all links between members of the groups g of rows(g, set_id).
+
+    Every member of a group is compared with its centre c; groups with one centre become one.  Let D be what a set and c
+    differ in, n its size and E = (100 + p) |D| - (100 - p) n.  Two members i and j link exactly if
+    2 (100 + p) |Di & Dj| >= Ei + Ej.  A pair of different components has a member that c doesn't link with (a far one),
+    for which Ei + Ej > 0, so the two share features of D.  Only features that several components have in D count (q of
+    them).  By the prefix filter a pair shares one of the rarest q - o + 1 of each, with o the least overlap that any
+    partner asks for: far sets for the others, all for far sets.  Pairs that meet in one of these features and may link by
+    E, q, sizes and a parity sketch are checked.
+    """
+    star = scratch.table(_stars(rows, weight))
+    found = _joined(star.select(F.col("centre").alias("a"), F.col("set_id").alias("b")), sets, "n", "items")
+    found = scratch.table(found.mapInArrow(_compared(percent, True), "g long, set_id long, n long, linked boolean, delta array<long>, small array<long>"))
+    label = _linked(label, found.where("linked").select(F.col("g").alias("a"), F.col("set_id").alias("b")), scratch)
+    centre = label.select(F.col("node").alias("g"), F.col("component").alias("_of_centre"))
+    far = F.col("component") != F.coalesce("_of_centre", "g")
+    excess = (100 + percent) * F.size("delta").cast("long") - (100 - percent) * F.col("n")
+    d = F.size("delta").cast("long")
+    known = _open(found, label).join(centre, "g", "left")
+    known = known.select("g", "set_id", "component", far.alias("far"), "n", d.alias("d"), excess.alias("excess"), "delta", "small")
+    # Groups without a far member are done, as are members that share too little with any far one even if that has all of D.
+    least_far = known.where("far").groupBy("g").agg(F.min("excess").alias("least_far"))
+    twice = 2 * (100 + percent)
+    known = known.join(least_far, "g").where(F.col("far") | (twice * F.col("d") >= F.col("excess") + F.col("least_far")))
+    known = scratch.table(known.drop("d"))
+    held = known.select("g", "set_id", "component", F.explode("delta").alias("item"))
+    counts = held.groupBy("g", "item").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_often"))
+    held = held.drop("component").join(counts.where("_low <> _high").select("g", "item", "_often"), ["g", "item"])
+    rarest = F.sort_array(F.collect_list(F.struct("_often", "item"))).alias("items")  # no longer than two sets
+    held = scratch.table(held.groupBy("g", "set_id").agg(rarest))
+    q = F.size("items").cast("long")
+    members = held.join(known.drop("delta", "small"), ["g", "set_id"])
+    members = members.where(F.col("far") | (twice * q >= F.col("excess") + F.col("least_far")))
+    least = members.groupBy("g").agg(F.min("excess").alias("least"))
+    partner = F.when(F.col("far"), F.col("least")).otherwise(F.col("least_far"))
+    overlap = F.greatest(F.lit(1), F.ceil((F.col("excess") + partner) / twice))
+    members = members.join(least, "g").withColumn("_take", (q - overlap + 1).cast("int")).where("_take > 0")
+    members = members.select("g", "set_id", q.alias("q"), F.slice("items", 1, F.greatest(F.col("_take"), F.lit(0))).alias("items"))
+    members = members.join(known.select("g", "set_id", "component", "far", "n", "excess", "small"), ["g", "set_id"])
+    keyed = members.withColumn("item", F.explode("items.item")).drop("items")
+    keyed = scratch.table(_several(keyed, "g", "item"))
+    one, two = keyed.where("far").alias("x"), keyed.alias("y")
+    able = (F.col("x.g") == F.col("y.g")) & (F.col("x.item") == F.col("y.item")) & (F.col("x.component") != F.col("y.component"))
+    able &= ~F.col("y.far") | (F.col("x.set_id") < F.col("y.set_id"))
+    able &= 100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")
+    able &= twice * F.least("x.q", "y.q") >= F.col("x.excess") + F.col("y.excess")
+    differ = sum(F.bit_count(F.col("x.small")[i].bitwiseXOR(F.col("y.small")[i])) for i in range(SMALL))
+    able &= (100 + percent) * differ <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
+    pairs = scratch.table(one.join(two, able).select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct())
+    near = _joined(pairs, sets, "n", "sketch").mapInArrow(_near(percent), "a long, b long, near boolean").where("near").select("a", "b")
+    links = _joined(scratch.table(near), sets, "items").mapInArrow(_compared(percent, False), "a long, b long, linked boolean")
+    label = _linked(label, links.where("linked").select("a", "b"), scratch)
+    scratch.drop(rows, star, found, known, held, keyed)
+    return label
+
+
+def _linked(label: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """label(node, component) after more links(a, b), found on the graph of components."""
+    ends = links.join(label.select(F.col("node").alias("a"), F.col("component").alias("_a")), "a", "left")
+    ends = ends.join(label.select(F.col("node").alias("b"), F.col("component").alias("_b")), "b", "left")
+    between = ends.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).where("a <> b")
+    between = scratch.table(between)
+    if between.isEmpty():
+        return label
+    more = components(label.sparkSession, between, scratch).select(F.col("node").alias("component"), F.col("component").alias("_new"))
+    nodes = label.unionByName(more.select(F.col("component").alias("node"), "component").join(label.select("node"), "node", "left_anti"))
+    return scratch.table(nodes.join(more, "component", "left").select("node", F.coalesce("_new", "component").alias("component")))
 
 
 def ngram_join(
-    docs: DataFrame, threshold: int = THRESHOLD, width: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, threshold: int = THRESHOLD, width: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None
 ) -> DataFrame:
-    """docs -> (doc_id, n_shingles, set_id, component_id), links where 100 |A ∩ B| >= threshold |A ∪ B|.
-
-    Equal sets fall together first.  In every signature's group the centre is the set whose own groups are the largest in
-    all (near copies' common origin, as a rule); pairs with centres are as many as rows, and each set is checked with the
-    best centre that its sketch allows.  Only groups whose members are then still in several components go on.  A set with
-    u shingles that no other set left has shares n - u at most with any, which with the sizes bounds its similarity; what
-    can't reach the threshold in its group leaves it.  Then members outside the smallest component become pivots, 256 a
-    round, and are checked with every member of another component that this bound lets link, until no group has a pivot
-    left.  So each pair that shares a signature is checked, or ruled out by a bound, or known to be connected.
-    """
-    spark, docs = docs.sparkSession, docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    scratch = Scratch(spark, "ngram")
-    sized = scratch.table(docs.mapInArrow(_sizes(width), "doc_id long, n_shingles long, set_id long, sketch binary, small array<long>"))
-    signed = docs.select("text").mapInArrow(_signed(width, threshold), "sig long, set_id long")
-    group = Window.partitionBy("sig")
-    shared = scratch.table(
-        signed.withColumn("size", F.count("*").over(group))
-        .where("size > 1")
-        .withColumn("_first", F.min("set_id").over(group))
-        .withColumn("_last", F.max("set_id").over(group))
-        .where("_first <> _last")
-        .groupBy("sig", "set_id")
-        .agg(F.first("size").alias("size"))
-    )
-    weight = shared.groupBy("set_id").agg(F.sum("size").alias("weight"))
-    named = sized.where("n_shingles > 0").join(weight, "set_id").groupBy("set_id", "weight")
-    named = scratch.table(named.agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("small").alias("small")))
-    rank = F.struct("weight", "set_id")
-    star = shared.join(named.select("set_id", "weight"), "set_id").withColumn("centre", F.max(rank).over(group))
-    star = star.where("centre.set_id <> set_id").select(F.col("centre.set_id").alias("a"), F.col("set_id").alias("b"), "centre.weight").distinct()
-    star = scratch.table(_candidates(star, named, threshold).groupBy("b").agg(F.max(F.struct("weight", "a")).alias("_c")).select("_c.a", "b"))
-    sets = _load(docs, named, width, scratch)
-    checked = scratch.table(_check(star, sets, threshold))
-    label = components(spark, checked.where("linked").select("a", "b"), scratch)
-    left = _apart(shared.select("sig", "set_id"), label, scratch)
-    if not left.isEmpty():
-        left = _apart(_bounded(left, sets, named, threshold), label, scratch)
-    while not left.isEmpty():
-        order = Window.partitionBy("sig").orderBy("set_id")
-        pivots = left.where("not major").withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= PIVOTS)
-        pivots = scratch.table(pivots.select(F.col("sig").alias("_sig"), F.col("set_id").alias("_p"), F.col("component").alias("_c"), F.col("n").alias("_n"), F.col("u").alias("_u"), F.col("small").alias("_small")))
-        most = F.least(F.col("n") - F.col("u"), F.col("_n") - F.col("_u"))
-        able = (F.col("component") != F.col("_c")) & (100 * most >= threshold * (F.col("n") + F.col("_n") - most))
-        apart = sum(F.bit_count(F.col("small")[i].bitwiseXOR(F.col("_small")[i])) for i in range(SKETCH // 512))
-        able &= (100 + threshold) * apart <= (100 - threshold) * (F.col("n") + F.col("_n"))
-        pairs = (
-            left.join(pivots, (F.col("sig") == F.col("_sig")) & able)
-            .select(F.least("_p", "set_id").alias("a"), F.greatest("_p", "set_id").alias("b"))
-            .distinct()
-            .join(checked, ["a", "b"], "left_anti")
-        )
-        pairs = scratch.table(_candidates(pairs.withColumn("weight", F.lit(0).cast("long")), named, threshold).select("a", "b"))
-        if not pairs.isEmpty():
-            checked = scratch.table(checked.unionByName(_check(pairs, sets, threshold)))
-            scratch.drop(label)
-            label = components(spark, checked.where("linked").select("a", "b"), scratch)
-        rows = left.join(pivots.select(F.col("_sig").alias("sig"), F.col("_p").alias("set_id")), ["sig", "set_id"], "left_anti")
-        left = _apart(rows.select("sig", "set_id", "n", "u", "small"), label, scratch)
-    of_set = sized.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
-    of_set = of_set.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    of_set = scratch.table(of_set)
-    best = scratch.table(of_set.groupBy("component").agg(F.min("least").alias("component_id")))
+    """docs -> (doc_id, n_shingles, set_id, component_id), links where 100 |A ∩ B| >= threshold |A ∪ B|."""
+    spark, docs = docs.sparkSession, docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    scratch = scratch or Scratch(spark, "ngram")
+    sized = scratch.table(docs.mapInArrow(_sizes(width), "doc_id long, n_shingles long, set_id long"))
+    classes = scratch.table(sized.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least")))
+    # Read twice from one shuffle: the signatures that several sets have, and the rows of these.
+    signed = docs.select("text").mapInArrow(_signed(width, threshold), "sig long, set_id long").repartition("sig")
+    ends = signed.groupBy("sig").agg(F.min("set_id").alias("_low"), F.max("set_id").alias("_high"))
+    shared = signed.join(ends.where("_low <> _high").select("sig").hint("shuffle_hash"), "sig")
+    shared = scratch.table(shared.select(F.col("sig").alias("g"), "set_id").distinct())
+    weight = scratch.table(shared.groupBy("set_id").agg(F.count("*").alias("weight")))
+    sets = _load(docs, classes.join(weight, "set_id"), width, scratch)
+    star = scratch.table(_stars(shared, weight).select(F.col("centre").alias("a"), F.col("set_id").alias("b")))
+    near = _joined(star, sets, "n", "sketch").mapInArrow(_near(threshold), "a long, b long, near boolean").where("near").select("a", "b")
+    near = scratch.table(near)
+    scratch.drop(star)
+    checked = _joined(near, sets, "items").mapInArrow(_compared(threshold, False), "a long, b long, linked boolean")
+    checked = scratch.table(checked.where("linked").select("a", "b"))
+    label = components(spark, checked, scratch)
+    rows = scratch.table(_open(shared, label))
+    scratch.drop(shared, near)
+    if not rows.isEmpty():
+        rows = _bounded(rows, sets, threshold, scratch)
+        label = _rest(rows, weight, sets, label, threshold, scratch)
+    of_set = classes.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    best = of_set.groupBy("component").agg(F.min("least").alias("component_id"))
     found = scratch.table(of_set.join(best, "component").select(F.col("set_id").alias("_set"), "component_id"))
+    scratch.drop(classes, sets)
     return sized.join(found, (F.col("set_id") == F.col("_set")) & (F.col("n_shingles") > 0), "left").select(
         "doc_id", "n_shingles", "set_id", F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
-def _load(docs: DataFrame, named: DataFrame, width: int, scratch: Scratch) -> DataFrame:
-    """The whole sets that share a signature."""
-    texts = docs.join(named.select("set_id", "doc_id").hint("merge"), "doc_id").dropDuplicates(["doc_id"]).select("set_id", "text")
-    return scratch.table(texts.mapInArrow(_sets(width), "set_id long, items array<long>"))
-
-
-def _bounded(rows: DataFrame, sets: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """rows(sig, set_id) with n and u, the shingles that no other set of rows has, without those that can't link in their group."""
-    own = sets.join(rows.select("set_id").distinct(), "set_id", "left_semi").dropDuplicates(["set_id"])
-    items = own.select("set_id", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("c"), F.min("set_id").alias("set_id"))
-    alone = items.where("c = 1").groupBy("set_id").agg(F.count("*").alias("u"))
-    known = rows.select("sig", "set_id").join(named.select("set_id", F.col("n_shingles").alias("n"), "small"), "set_id").join(alone, "set_id", "left")
-    known = known.withColumn("u", F.coalesce("u", F.lit(0))).withColumn("_least", F.min("n").over(Window.partitionBy("sig")))
-    return known.where(100 * (F.col("n") - F.col("u")) >= percent * (F.col("_least") + F.col("u"))).select("sig", "set_id", "n", "u", "small")
-
-
-def _apart(rows: DataFrame, label: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows of the groups whose members are in several components; major: in the smallest of these."""
-    group = Window.partitionBy("sig")
-    known = rows.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    return scratch.table(
-        known.withColumn("_low", F.min("component").over(group))
-        .withColumn("_high", F.max("component").over(group))
-        .where("_low <> _high")
-        .select(*rows.columns, "component", (F.col("component") == F.col("_low")).alias("major"))
-    )
+def _load(docs: DataFrame, classes: DataFrame, width: int, scratch: Scratch) -> DataFrame:
+    """The whole sets of classes(set_id, least), one row each; a set is known by its own shingles, whatever its row's id."""
+    ids = classes.select(F.col("least").alias("_id")).distinct()
+    texts = docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
+    made = texts.mapInArrow(_sets(width), "set_id long, n long, items array<long>, sketch array<long>")
+    return scratch.table(made.join(classes.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"]))

@@ -68,3 +68,34 @@ def test_signatures_of_similar_sets_meet():
             assert set(signatures(np.sort(a), bands).tolist()) & set(signatures(np.sort(b), bands).tolist())
             low = a[: max(1, -(-85 * n // 100))]
             assert set(signatures(np.sort(a), bands).tolist()) & set(signatures(np.sort(low), bands).tolist())
+
+
+def test_families_around_the_threshold(spark, docs):
+    """Copies of copies, many of them just beyond the threshold of their centre: groups with several components are refined."""
+    r = random.Random(11)
+    words = [f"v{i}" for i in range(60)]
+    rows, i = [], 0
+    for _ in range(3):
+        base = [r.choice(words) for _ in range(120)]
+        variants = [base]
+        for _ in range(70):
+            copy = list(r.choice(variants))
+            for _ in range(r.choice([1, 2, 3, 4, 5])):
+                copy[r.randrange(len(copy))] = r.choice(words)
+            variants.append(copy)
+        for v in variants:
+            rows.append((i, " ".join(v)))
+            i += 1
+    out = ngram_join(docs(rows), 80, 5).collect()
+    expected = brute(rows, 5, 80)
+    assert len({c for _, c in expected.values()}) > 20
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in out} == expected
+
+
+def test_rows_with_one_id_and_without(spark, docs):
+    r = random.Random(5)
+    one, two, three = (" ".join(r.choice(["a", "b", "c", "d", "e"]) + str(r.randrange(99)) for _ in range(80)) for _ in range(3))
+    rows = [(5, one), (5, two), (7, one + " x"), (8, two + " y"), (9, three), (None, three + " z"), (None, "alone here"), (None, "alone here")]
+    out = ngram_join(docs(rows), 85, 4).collect()
+    found = sorted((x.doc_id or 0, x.component_id or 0) for x in out)
+    assert found == [(0, 0), (0, 0), (0, 9), (5, 5), (5, 5), (7, 5), (8, 5), (9, 9)]
