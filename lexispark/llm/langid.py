@@ -36,9 +36,8 @@ ROUNDS = 4
 SMOOTHING = 500.0
 UNKNOWN = 1e-9
 REMEMBERED = 300_000
-#: Word characters that are neither letters nor decimal digits.
-_NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_LETTERS = re.compile(rf"[^\W\d_{re.escape(_NUMERALS)}]+")
+#: Word characters without decimal digits and underscores; some of them, as fractions, are no letters.
+_LETTERS = re.compile(r"[^\W\d_]+")
 #: Words up to this length are summed together, with probabilities times GAIN for each character so that none underflows.
 _WINDOW, GAIN = 48, 1e4
 PIECE = 47
@@ -146,7 +145,12 @@ class Model:
 
 
 def letters(text: str) -> list[str]:
-    return [" " + w for w in _LETTERS.findall(text.lower())]
+    """Runs of letters in lower case, with a space in front."""
+    runs = _LETTERS.findall(text.lower())
+    if text.isascii() or all(map(str.isalpha, runs)):
+        return [" " + w for w in runs]
+    split = ("".join(c if c.isalpha() else " " for c in w).split() for w in runs)
+    return [" " + w for words in split for w in words]
 
 
 def fit(samples: list[tuple[str, str]], model: str = MODEL, rounds: int = ROUNDS) -> Model:
