@@ -11,7 +11,7 @@ piece bounds that window).  As soon as the backpointers of all surviving positio
 are committed and forgotten, and so is every backpointer that no surviving path uses.  (Where paths never meet, as in one
 letter repeated, the surviving ones are kept.)  No piece holds a space behind another character, so the boundary in front
 of a word always is such a point; the ids of a short stretch between two of these are remembered per worker, in a table
-that is emptied at a fixed number of entries.  All stretches, of any length, go through the one pass.
+of a fixed number of entries, as a cache in front of the pass.  All stretches, of any length, go through the one pass.
 
 Defined results: a null text has null ids, an empty one no ids; repeated rows repeat; very long texts are coded whole;
 every string comes back from decoding exactly, the word-boundary mark itself and unknown scripts included; an empty table
@@ -34,8 +34,8 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, S
 from lexispark.llm.common import lists, slices, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: Stretches that a worker remembers.
-REMEMBERED = 300_000
+#: Stretches that a worker remembers; as many older ones are kept beside them.
+REMEMBERED = 600_000
 _BYTE_COST = 20_000
 
 
@@ -89,52 +89,52 @@ def viterbi(text: str, vocabulary: Vocabulary, commit: Callable[[list[int]], Non
     """
     get, n, ids = vocabulary.prefixes.get, len(text), []
     commit = commit or ids.extend
-    cost, before, piece, heirs, sums, base = {0: 0}, {}, {}, {0: 0}, {0: 0}, 0
+    cost, before, piece, heirs, sums, base = {0: 0}, {}, {}, {}, {}, 0
 
     def release(k: int, heir: int) -> None:
-        while True:
-            heirs[k] -= 1
-            sums[k] -= heir
-            if heirs[k] or k >= i:
-                return
+        while heirs[k] == 1:
             del heirs[k], sums[k], piece[k]
             heir, k = k, before.pop(k)
+        heirs[k] -= 1
+        sums[k] -= heir
 
     def spelled(k: int, j: int) -> list[int]:
         return [piece[j]] if piece[j] >= 0 else [vocabulary.bytes[b] for b in text[k:j].encode("utf-8", "surrogatepass")]
 
     for i in range(n):
-        here = cost.pop(i, None)
-        if here is None:
+        if i not in cost:
             continue
-        heirs[i] = sums[i] = 0
-        j, single = i + 1, False
-        while True:
-            found = get(text[i:j]) if j <= n else None
-            if found is not None and found[0] >= 0:
-                price, name = here + found[1], found[0]
-                single |= j == i + 1
-            elif found is None and not single:  # spelled by bytes, after all pieces
-                price, name, j, single = here + _BYTE_COST * len(text[i].encode("utf-8", "surrogatepass")), -1, i + 1, True
-                found = None
-            elif found is None:
+        here = cost.pop(i)
+        count = places = 0
+        single = False
+        for j in range(i + 1, n + 1):
+            found = get(text[i:j])
+            if found is None:
                 break
-            else:
-                j += 1
-                continue
+            name, price = found
+            if name >= 0:
+                if j == i + 1:
+                    single = True
+                price += here
+                if j not in cost or price < cost[j]:
+                    if j in cost:
+                        release(before[j], j)
+                    cost[j], before[j], piece[j] = price, i, name
+                    count += 1
+                    places += j
+        if not single:  # spelled by bytes
+            j, price = i + 1, here + _BYTE_COST * len(text[i].encode("utf-8", "surrogatepass"))
             if j not in cost or price < cost[j]:
                 if j in cost:
                     release(before[j], j)
-                cost[j], before[j], piece[j] = price, i, name
-                heirs[i] += 1
-                sums[i] += j
-            if found is None:
-                break
-            j += 1
-        if i and not heirs[i]:
-            k = before.pop(i)
-            del heirs[i], sums[i], piece[i]
-            release(k, i)
+                cost[j], before[j], piece[j] = price, i, -1
+                count += 1
+                places += j
+        if not count:
+            del piece[i]
+            release(before.pop(i), i)
+            continue
+        heirs[i], sums[i] = count, places
         while heirs[base] == 1 and sums[base] <= i:
             j = sums.pop(base)
             commit(spelled(base, j))
@@ -154,13 +154,16 @@ class _Stretches(dict):
 
     def __init__(self, vocabulary: Vocabulary, front: str):
         super().__init__()
-        self.vocabulary, self.front = vocabulary, front
+        self.vocabulary, self.front, self.older = vocabulary, front, {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        ids = array("i", viterbi(self.front + word, self.vocabulary)).tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = array("i", viterbi(self.front + word, self.vocabulary)).tobytes()
         if len(word) <= 64:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)  # what is used again comes back from there
+                self.clear()
             self[word] = ids
         return ids
 
