@@ -46,6 +46,14 @@ AFFIX_HINTS = {
     "ber-": r"\bber([a-z]+)\b",
 }
 
+# Suggested settings: a dotted word to split before, splits at dots and at names, and the parts of an entry pattern.
+SPLIT_BEFORE = r"\s+(?=[a-zà-ÿ'’\-]+\s+[•·.]{1,3}\s)"
+SPLIT_AT_DOTS = r"(?<=\s)(?=[•·.]{1,4}\s*[a-z])"
+SPLIT_AT_NAMES = r"(?<=\s)(?={names})"
+ENTRY_DOTS = r"[•·.]{0,4}\s*"
+ENTRY_COMPOUND = r"(?:[\s\-]+[a-zà-ÿ''\-]+){0,2}"
+ENTRY_SUGGESTED = r"^(?:a\s+)?{dots}(?P<headword>[a-zà-ÿ''\-]+{compound})\s*(?P<gloss>.+)$"
+
 # Correction, flags and patterns.
 CONFIDENCE_FLOOR, FIX_PENALTY = 0.75, 0.03
 MIN_OCCURRENCES = 3

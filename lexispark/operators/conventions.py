@@ -103,19 +103,21 @@ def extract_conventions(pages: DataFrame) -> DataFrame:
     )
 
 
-def suggest_split_pattern(row: dict) -> str:
-    """A split_before pattern for one book's conventions."""
-    ahead = []
-    if row.get("dotted_markers") or row.get("split_mode") in ("marker", "hybrid"):
-        ahead.append(r"[a-zà-ÿ'’\-]+\s+[•·.]{1,3}\s")
-    ahead += [K.CROSS_REFS[x["marker"]] for x in row.get("cross_refs") or [] if x["n"]]
-    return rf"\s+(?={'|'.join(ahead)})" if ahead else r"\n(?=[a-zà-ÿ'’\-]+\s)"
+def suggest_split_pattern(row: dict) -> str | None:
+    """A split_before pattern for one book's conventions: before dotted markers and before the names of the cross-reference
+    markers found, in their fixed order.  None where lines serve or neither was found."""
+    if (row.get("split_mode") or "line") == "line":
+        return None
+    found = {x["marker"] for x in row.get("cross_refs") or [] if x["n"]}
+    names = "|".join(re.escape(name) for name in K.CROSS_REFS if name in found)
+    choices = [K.SPLIT_AT_DOTS] if row.get("dotted_markers") else []
+    return "|".join([*choices, *([K.SPLIT_AT_NAMES.format(names=names)] if names else [])]) or None
 
 
 def suggest_entry_pattern(row: dict) -> str | None:
     """A permissive entry pattern where headwords have hyphens or dots; else the default serves."""
     if not (row.get("has_hyphen") or row.get("dotted_markers")):
         return None
-    pattern = r"^(?:[•·.]{1,3}\s*)?([a-zà-ÿ'’\-]+(?:\s[a-zà-ÿ'’\-]+)?)\s*(?:\(?([a-z.]+)\)?\s+)?(.+?)\.?\s*$"
-    re.compile(pattern)
-    return pattern
+    dots = K.ENTRY_DOTS if row.get("dotted_markers") else ""
+    compound = K.ENTRY_COMPOUND if row.get("has_hyphen") else ""
+    return K.ENTRY_SUGGESTED.format(dots=dots, compound=compound)

@@ -18,21 +18,19 @@ PLACE = ("book", "page_number", "idx")
 def senses(entries: DataFrame) -> DataFrame:
     """One row for each headword key and gloss: its best entry, its first place, its books."""
     rows = entries.withColumn("key", key(F.col("headword"))).withColumn("gloss", key(F.coalesce("gloss_pivot", F.lit(""))))
-    best = F.struct("id", "headword", "part_of_speech", "gloss_pivot", "page_ref", "confidence", "source_language", "source_page", "source_book")
-    cut = F.slice(F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.size("examples") > 0, F.struct(*PLACE, "examples")))), lambda x: x["examples"])), 1, K.MAX_EXAMPLES)
+    best = F.struct("id", "headword", "part_of_speech", "gloss_pivot", "page_ref", "confidence", "source_language", "source_page", "source_book", "examples")
     return rows.groupBy("key", "gloss").agg(
         F.count("*").alias("n"),
         F.min_by(best, F.struct(-F.col("confidence"), *PLACE)).alias("best"),
         F.min(F.struct(*PLACE)).alias("first"),
         F.min_by(F.struct(*PLACE), F.struct(-F.col("confidence"), *PLACE)).alias("best_at"),
         F.collect_set(F.when(F.col("source_book") != "", F.col("source_book"))).alias("books"),
-        cut.alias("examples"),
     )
 
 
 def grouped(entries: DataFrame) -> DataFrame:
     """One row a headword key, its senses in order of first place."""
-    sense = F.struct("first", "gloss", "n", "best", "best_at", "books", "examples")
+    sense = F.struct("first", "gloss", "n", "best", "best_at", "books")
     return senses(entries).groupBy("key").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(sense)).alias("senses"))
 
 
@@ -41,8 +39,9 @@ def merge_books(entries: DataFrame, gloss_ratio: float = K.GLOSS_RATIO, conflict
 
     A lone entry passes as it is.  Equal glosses: the best entry (highest confidence, first on ties), its books joined.
     Two glosses of a ratio of 0.9: the best entry with the longer normalised gloss.  Else numbered senses in order of first
-    place, up to ten examples, and the senses' best confidences over the number of entries.  conflicts marks groups of
-    two or more books whose glosses share no word.
+    place, up to ten examples of the senses' best entries, and the senses' best confidences over the number of entries.  In
+    the other cases the examples are the best entry's.  conflicts marks groups of two or more books whose glosses share no
+    word; a gloss_ratio above 1 merges no different glosses.
     """
     rows = grouped(entries)
     first, second = F.get("senses", F.lit(0)), F.get("senses", F.lit(1))
@@ -54,8 +53,8 @@ def merge_books(entries: DataFrame, gloss_ratio: float = K.GLOSS_RATIO, conflict
     rows = pairs.unionByName(rest)
     bests = F.transform("senses", lambda s: F.struct((-s["best"]["confidence"]).alias("c"), s["best_at"].alias("at"), s["best"].alias("b")))
     rows = rows.withColumn("_best", F.array_min(bests)["b"])
-    books = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.transform("senses", lambda s: s["books"])))), ", ")
-    examples = F.slice(F.flatten(F.transform("senses", lambda s: s["examples"])), 1, K.MAX_EXAMPLES)
+    books = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.transform("senses", lambda s: s["books"])))), ",")
+    examples = F.slice(F.flatten(F.transform("senses", lambda s: F.coalesce(s["best"]["examples"], F.array().cast("array<string>")))), 1, K.MAX_EXAMPLES)
     numbered = F.array_join(F.transform("senses", lambda s, i: F.concat(F.lit("("), (i + 1).cast("string"), F.lit(") "), s["best"]["gloss_pivot"])), "; ")
     how = F.when(F.col("n") == 1, "single").when(F.size("senses") == 1, "same").when(two & (F.col("_ratio") >= gloss_ratio), "similar")
     if conflicts:
@@ -72,7 +71,7 @@ def merge_books(entries: DataFrame, gloss_ratio: float = K.GLOSS_RATIO, conflict
         F.col("_best.headword").alias("headword"),
         F.col("_best.part_of_speech").alias("pos"),
         F.when(sensed, numbered).when(F.col("how") == "similar", longer).otherwise(F.col("_best.gloss_pivot")).alias("gloss_pivot"),
-        F.when(sensed | single, examples).otherwise(examples).alias("examples"),
+        F.when(sensed, examples).otherwise(F.col("_best.examples")).alias("examples"),
         F.col("_best.page_ref").alias("page_ref"),
         F.round(F.when(sensed, total / F.col("n")).otherwise(F.col("_best.confidence")), 3).alias("confidence"),
         F.col("_best.source_language").alias("source_language"),

@@ -130,7 +130,7 @@ def suggestions(kinds: DataFrame, conventions: DataFrame) -> DataFrame:
     langs = F.array_compact(F.array(*[F.when(F.col(f"{lang}_hits") > 0, F.lit(lang)) for lang in K.FUNCTION_WORDS]))
     odd = F.col("book_kind").isin("kids_picture_book", "grammar_morphology", "teaching_book")
     lines = F.array(
-        F.when(F.col("markers_total") > 0, F.concat(F.lit("split_before: markers "), F.col("markers_total").cast("string"))),
+        F.when(F.col("markers_total") > 0, F.concat(F.lit(f"split_before: `{K.SPLIT_BEFORE}` ("), F.col("markers_total").cast("string"), F.lit(" markers)"))),
         F.when(F.size(langs) > 0, F.concat(F.lit("gloss languages: "), F.array_join(langs, ", "))),
         F.lit("check the text layer of scanned pages by eye"),
         F.when(odd, F.concat(F.col("book_kind"), F.lit(": review the profile before extraction"))),

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from lexispark.functions import constants as K
 from lexispark.functions.config import Phonology
 from lexispark.operators.correct import correct, typo_flags
-from lexispark.operators.crosscheck import crosscheck
+from lexispark.operators.crosscheck import crosscheck, duplicates, first_conflicts
 from lexispark.operators.extract import extract_entries
 from lexispark.operators.flags import as_stored, escalate, reconcile
+from lexispark.plans.state import saved
 
+#: Rejects headwords with an h, so that the same change fails in many entries.
+NARROW = Phonology(valid_chars="abcdefgijklmnopqrstuvwxyz'-", confusion_pairs=[("e", "c")])
 LANGUAGE, PIVOT = "Invented", "Bahasa Indonesia"
 PHONOLOGY = Phonology(valid_chars="abcdefghijklmnopqrstuvwxyz'-", confusion_pairs=[("rn", "m"), ("tt", "t"), ("é", "è")])
 
@@ -57,9 +60,18 @@ def new_flags(spark: SparkSession, sf_dir: str, pass_no: int = 1) -> DataFrame:
     return typo.unionByName(meaning, allowMissingColumns=True)
 
 
+def first_flags(spark: SparkSession, sf_dir: str, pass_no: int = 1) -> DataFrame:
+    """new_flags with only the first of an entry's conflicts, which is all that reconciling looks at."""
+    every = saved(entries(spark, sf_dir), "entries")
+    fixed = correct(every.where(~is_even_book()), PHONOLOGY)
+    meaning = duplicates(fixed, LANGUAGE, PIVOT, pass_no)
+    meaning = meaning.unionByName(first_conflicts(fixed, every.where(is_even_book()), LANGUAGE, PIVOT, pass_no).drop("n"))
+    return saved(typo_flags(fixed, pass_no).unionByName(meaning, allowMissingColumns=True), "new")
+
+
 def stored_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pass 1, then a pass in which only entries of even page numbers are raised again."""
-    new = new_flags(spark, sf_dir)
+    new = first_flags(spark, sf_dir)
     first = reconcile(as_stored(new).where("false"), new)
     return reconcile(first, new.where("page_number % 2 = 0").withColumn("raised_at_pass", F.lit(2)))
 

@@ -95,8 +95,8 @@ sense AS (SELECT k, g, count(*) AS n, first(gloss_pivot ORDER BY confidence DESC
   first(headword ORDER BY confidence DESC, book, page_number, idx) AS hw, first(page_number ORDER BY confidence DESC, book, page_number, idx) AS pr,
   first((book, page_number, idx) ORDER BY confidence DESC, book, page_number, idx) AS best_at FROM entries GROUP BY k, g),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY first_at) AS no FROM sense),
-books AS (SELECT k, array_to_string(list_sort(list_distinct(list(book))), ', ') AS bs, count(*) AS n FROM entries GROUP BY k),
-whole AS (SELECT k, count(*) AS gs, string_agg('(' || no || ') ' || gp, '; ' ORDER BY no) AS text, first(hw ORDER BY c DESC, best_at) AS hw,
+books AS (SELECT k, array_to_string(list_sort(list_distinct(list(book))), ',') AS bs, count(*) AS n FROM entries GROUP BY k),
+whole AS (SELECT k, count(*) AS gs, string_agg('(' || no || ') ' || gp, '; ' ORDER BY no) AS text, list_slice(list(gp ORDER BY no), 1, 10) AS xs, sum(c) AS cs, first(hw ORDER BY c DESC, best_at) AS hw,
   first(pr ORDER BY c DESC, best_at) AS pr, first(gp ORDER BY c DESC, best_at) AS gp, max(c) AS c FROM numbered GROUP BY k)"""
 
 
@@ -186,9 +186,13 @@ UNION ALL SELECT id, headword, 'low_confidence', 2, true, book, page_number, idx
     "dup_headword_flags": f"""WITH {ENTRIES}, l AS (SELECT *, lag(gloss_pivot) OVER w AS prior, lag(gn) OVER w AS pn FROM entries WINDOW w AS (PARTITION BY k ORDER BY book, page_number, idx))
 SELECT id AS entry_id, headword, 'two glosses in this pass / ' || prior || ' / ' || gloss_pivot AS note,
   '"' || headword || '" Invented dictionary: "' || prior || '" or "' || gloss_pivot || '" (Bahasa Indonesia)?' AS suggested_query FROM l WHERE pn <> gn""",
-    "corpus_conflict_flags": f"""WITH {ENTRIES} SELECT a.id AS entry_id, a.headword, count(*) AS n, CAST(count(*) AS INTEGER) AS k
-FROM entries a JOIN entries b ON a.k = b.k AND NOT a.even_book AND b.even_book AND a.gn <> b.gn GROUP BY a.id, a.headword""",
-    "recurring_subs": f"WITH {FLAGS} SELECT fix AS subject, count(*) AS n, round(least(CAST(0.5 AS DOUBLE) + CAST(0.05 AS DOUBLE) * count(*), CAST(0.95 AS DOUBLE)), 6) AS confidence FROM new WHERE fix IS NOT NULL GROUP BY fix HAVING count(*) >= 3",
+    "corpus_conflict_flags": f"""WITH {ENTRIES}, p AS (SELECT a.id AS entry_id, a.headword, a.gloss_pivot, count(*) AS n, arg_min(b.gloss_pivot, (b.book, b.page_number, b.idx)) AS prior
+  FROM entries a JOIN entries b ON a.k = b.k AND NOT a.even_book AND b.even_book AND a.gn <> b.gn GROUP BY a.id, a.headword, a.gloss_pivot)
+SELECT entry_id, headword, 'meaning_conflict' AS issue_type, 'prior corpus differs / ' || prior || ' / ' || gloss_pivot AS note, true AS needs_web_check,
+  '"' || headword || '" Invented language meaning ("' || prior || '" OR "' || gloss_pivot || '" in Bahasa Indonesia)' AS suggested_query, n FROM p""",
+    "recurring_subs": f"""WITH {ENTRIES}, c AS (SELECT headword, replace(headword, 'e', 'c') AS candidate FROM entries WHERE NOT confidence >= 1)
+SELECT headword || ' -> ' || candidate AS subject, count(*) AS n, round(least(CAST(0.5 AS DOUBLE) + CAST(0.05 AS DOUBLE) * count(*), CAST(0.95 AS DOUBLE)), 6) AS confidence
+FROM c WHERE candidate <> headword AND contains(lower(candidate), 'h') GROUP BY 1 HAVING count(*) >= 3""",
     "page_clusters": f"WITH {FLAGS} SELECT concat_ws('#', book, page_number) AS subject, count(*) AS n, round(least(CAST(0.4 AS DOUBLE) + CAST(0.1 AS DOUBLE) * count(*), CAST(0.9 AS DOUBLE)), 6) AS confidence FROM new GROUP BY book, page_number HAVING count(*) >= 3",
     "issue_hotspot": f"""WITH {FLAGS}, t AS (SELECT issue_type, count(*) AS n, min((stage, book, page_number, idx, k)) AS f FROM new GROUP BY issue_type)
 SELECT issue_type AS subject, n, round(CAST(n AS DOUBLE) / (SELECT sum(n) FROM t), 2) AS confidence FROM t WHERE n >= 3 AND n * 2 >= (SELECT sum(n) FROM t) ORDER BY n DESC, f LIMIT 1""",
@@ -202,9 +206,12 @@ SELECT status, count(*) AS n FROM s GROUP BY status""",
     "quality_report": f"WITH {STORED} SELECT (SELECT count(*) FROM new) AS flags_raised, (SELECT count(*) FROM stored WHERE resolved) AS flags_resolved, (SELECT count(*) FROM stored) AS flags_stored",
     "entries_by_headword": f"WITH {ENTRIES} SELECT headword, string_agg(id, ',' ORDER BY book, page_number, idx) AS ids FROM entries GROUP BY headword",
     "empty_gloss": _flags("entries", "length(gloss_pivot) < 2", "low_confidence"),
-    "gloss_conflicts": f"""WITH {ENTRIES}, many AS (SELECT lk, list((id, gloss_pivot) ORDER BY book, page_number, idx) AS m FROM entries GROUP BY lk HAVING count(DISTINCT g) > 1)
-SELECT e.id AS entry_id, e.headword, md5('other glosses: ' || array_to_string(list_transform(list_filter(m, lambda x: x[1] <> e.id), lambda x: x[2]), '; ')) AS note_md5
-FROM entries e JOIN many USING (lk)""",
+    "gloss_conflicts": f"""WITH {ENTRIES}, each AS (SELECT lk, gloss_pivot AS gp, min(g) AS g, min((book, page_number, idx)) AS first_at, count(*) AS n FROM entries GROUP BY lk, gloss_pivot),
+many AS (SELECT lk, list({{'gp': gp, 'n': n}} ORDER BY first_at) AS m FROM each GROUP BY lk HAVING count(DISTINCT g) > 1),
+told AS (SELECT e.*, list_filter(list_transform(m, lambda x: {{'gp': x.gp, 'n': x.n - CAST(x.gp = e.gloss_pivot AS INTEGER)}}), lambda x: x.n > 0) AS o FROM entries e JOIN many USING (lk))
+SELECT id AS entry_id, headword, 'duplicate_headword' AS issue_type, 0 AS raised_at_pass, true AS needs_web_check, '"' || headword || '" arti bahasa Indonesia OR "' || headword || '" meaning' AS suggested_query,
+  book, page_number, idx, md5('this gloss: ' || gloss_pivot || '; other glosses: ' ||
+  array_to_string(list_transform(o, lambda x: CASE WHEN x.n > 1 THEN x.gp || ' (x' || x.n || ')' ELSE x.gp END), '; ')) AS note_md5 FROM told""",
     "example_check": _flags(
         "s",
         "NOT contains(lower(gloss_pivot), lk) AND stem <> '' AND NOT contains(lower(gloss_pivot), stem)",
@@ -233,9 +240,11 @@ SELECT word, base FROM b WHERE base IS NOT NULL""",
   WHEN len(list_filter(hits, lambda x: starts_with(x, 'suffix:'))) > 0 THEN 'cross_reference' ELSE 'keep_as_entry' END AS action FROM r WHERE root <> headword""",
     "derived_forms": f"WITH {MORPH}, d AS (SELECT DISTINCT headword, root FROM r WHERE root IS NOT NULL) SELECT root, string_agg(headword, ',' ORDER BY headword) AS derived_forms FROM d GROUP BY root",
     "merge_same_gloss": f"""WITH {SENSES} SELECT w.hw AS headword, w.gp AS gloss_pivot, round(w.c, 3) AS confidence, b.bs AS source_book, w.pr AS page_ref, b.n AS n_entries,
-  CASE WHEN b.n = 1 THEN 'single' ELSE 'same' END AS how FROM whole w JOIN books b USING (k) WHERE w.gs = 1""",
-    "merge_multi_sense": f"""WITH {SENSES} SELECT w.hw AS headword, md5(w.text) AS gloss_pivot, b.bs AS source_book, w.pr AS page_ref, b.n AS n_entries, 'senses' AS how
-FROM whole w JOIN books b USING (k) WHERE w.gs > 2""",
+  CASE WHEN b.n = 1 THEN 'single' ELSE 'same' END AS how, w.gp AS examples FROM whole w JOIN books b USING (k) WHERE w.gs = 1""",
+    "merge_multi_sense": f"""WITH {SENSES} SELECT w.hw AS headword, md5(w.text) AS gloss_pivot, round(w.cs / b.n, 3) AS confidence, b.bs AS source_book, w.pr AS page_ref, b.n AS n_entries, 'senses' AS how,
+  array_to_string(w.xs, '|') AS examples FROM whole w JOIN books b USING (k) WHERE w.gs > 1""",
+    "merge_conflicts": f"""WITH {SENSES}, shared AS (SELECT k, list_reduce(list(string_split(g, ' ') ORDER BY first_at), lambda x, y: list_intersect(x, y)) AS common FROM sense GROUP BY k HAVING count(*) > 1)
+SELECT k AS key, b.bs AS source_book, b.n AS n_entries FROM shared JOIN books b USING (k) WHERE len(common) = 0 AND contains(b.bs, ',')""",
     "merge_summary": f"WITH {ENTRIES} SELECT count(DISTINCT book) AS books, count(*) AS entries_in, count(DISTINCT k) AS entries_out, CAST(0 AS BIGINT) AS conflicts FROM entries",
     "cross_book_conflicts": f"WITH {ENTRIES} SELECT k AS key, count(DISTINCT g) AS n_glosses, count(DISTINCT book) AS n_books FROM entries GROUP BY k HAVING count(DISTINCT g) > 1 AND count(DISTINCT book) > 1",
     "dangling_references": f"""WITH {ENTRIES}, x AS (SELECT id, headword, unnest(list_distinct(regexp_extract_all(gloss_pivot, '(?i)\\b(?:of\\s+the|de\\s+la)\\s+([A-Za-zÀ-ÿ''’\\-]+)', 1))) AS reference FROM entries)

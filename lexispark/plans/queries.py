@@ -7,10 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexispark.functions.text import key
 from lexispark.operators import conventions, flags, homonyms, merge, morphology, ocr, patterns, profile, senses, translation
 from lexispark.operators.correct import correct, typo_flags
-from lexispark.operators.crosscheck import conflicts, duplicates
+from lexispark.operators.crosscheck import duplicates, first_conflicts
 from lexispark.operators.extract import candidates, extract_counters, extract_entries
 from lexispark.plans import fixtures as fx
 from lexispark.plans.loop import run_quality_loop
@@ -194,13 +193,13 @@ def dup_headword_flags(spark, sf_dir):
 @query
 def corpus_conflict_flags(spark, sf_dir):
     every = fx.entries(spark, sf_dir)
-    rows = conflicts(every.where(~fx.is_even_book()), every.where(fx.is_even_book()))
-    return rows.groupBy("entry_id", "headword").agg(F.count("*").alias("n"), F.max("k").alias("k"))
+    rows = first_conflicts(every.where(~fx.is_even_book()), every.where(fx.is_even_book()), fx.LANGUAGE, fx.PIVOT)
+    return rows.select("entry_id", "headword", "issue_type", "note", "needs_web_check", "suggested_query", "n")
 
 
 @query
 def recurring_subs(spark, sf_dir):
-    rows = patterns.recurring_substitutions(fx.new_flags(spark, sf_dir))
+    rows = patterns.recurring_substitutions(typo_flags(correct(fx.entries(spark, sf_dir), fx.NARROW)))
     return rows.select("subject", "n", F.round("confidence", 6).alias("confidence"))
 
 
@@ -279,7 +278,9 @@ def empty_gloss(spark, sf_dir):
 
 @query
 def gloss_conflicts(spark, sf_dir):
-    return translation.gloss_conflicts(fx.entries(spark, sf_dir)).select("entry_id", "headword", F.md5(F.col("note").cast("binary")).alias("note_md5"))
+    rows = translation.gloss_conflicts(fx.entries(spark, sf_dir))
+    columns = ("entry_id", "headword", "issue_type", "raised_at_pass", "needs_web_check", "suggested_query", "book", "page_number", "idx")
+    return rows.select(*columns, F.md5(F.col("note").cast("binary")).alias("note_md5"))
 
 
 @query
@@ -351,9 +352,9 @@ def derived_forms(spark, sf_dir):
     return morphology.derived_forms(fx.entries(spark, sf_dir)).select("root", F.array_join("derived_forms", ",").alias("derived_forms"))
 
 
-def _merged(spark, sf_dir, how):
-    rows = merge.merge_books(fx.entries(spark, sf_dir)).where(F.col("how").isin(*how))
-    return rows.select("headword", "gloss_pivot", "confidence", "source_book", "page_ref", "n_entries", "how")
+def _merged(spark, sf_dir, how, **options):
+    rows = merge.merge_books(fx.examples(spark, sf_dir), **options).where(F.col("how").isin(*how))
+    return rows.select("headword", "gloss_pivot", "confidence", "source_book", "page_ref", "n_entries", "how", F.array_join("examples", "|").alias("examples"))
 
 
 @query
@@ -363,14 +364,14 @@ def merge_same_gloss(spark, sf_dir):
 
 @query
 def merge_multi_sense(spark, sf_dir):
-    out = _merged(spark, sf_dir, ["senses"]).where("n_entries > 2").drop("confidence")
-    return out.join(_several(spark, sf_dir), key(F.col("headword")) == F.col("_k"), "left_semi").withColumn("gloss_pivot", F.md5(F.col("gloss_pivot").cast("binary")))
+    """All headwords of two glosses or more, as a ratio above 1 merges none."""
+    return _merged(spark, sf_dir, ["senses"], gloss_ratio=2.0).withColumn("gloss_pivot", F.md5(F.col("gloss_pivot").cast("binary")))
 
 
-def _several(spark, sf_dir):
-    """Headword keys with three glosses or more, where similarity plays no part."""
-    rows = fx.entries(spark, sf_dir).groupBy(key(F.col("headword")).alias("_k")).agg(F.count_distinct(key(F.col("gloss_pivot"))).alias("g"))
-    return rows.where("g > 2").select("_k")
+@query
+def merge_conflicts(spark, sf_dir):
+    rows = merge.merge_books(fx.entries(spark, sf_dir), gloss_ratio=2.0, conflicts=True).where("how = 'conflict'")
+    return rows.select(F.lower("headword").alias("key"), "source_book", "n_entries")
 
 
 @query

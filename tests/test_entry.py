@@ -17,7 +17,7 @@ def plain(rows):
     return sorted(tuple(repr(round(v, 9) + 0.0) if isinstance(v, float) else repr(v) for v in r) for r in rows)
 
 
-@pytest.mark.parametrize("name", ["extract", "page_stats", "zone_split", "dup_headword_flags", "homonym_exact", "merge_multi_sense", "morph_findings"])
+@pytest.mark.parametrize("name", ["extract", "page_stats", "zone_split", "dup_headword_flags", "homonym_exact", "merge_multi_sense", "merge_same_gloss", "merge_conflicts", "gloss_conflicts", "corpus_conflict_flags", "reconcile_flags", "recurring_subs", "morph_findings"])
 def test_query_against_sql(spark, name):
     c = duckdb.connect()
     for f in glob.glob(f"{SF}/*.parquet"):

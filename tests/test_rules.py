@@ -2,13 +2,14 @@
 
 import difflib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from lexispark.functions.config import Affixes, Phonology, to_java
 from lexispark.functions.text import gloss_norm, key, strip
-from lexispark.operators import crosscheck, flags, homonyms, merge, morphology, patterns, profile, translation
+from lexispark.operators import conventions, crosscheck, flags, homonyms, merge, morphology, patterns, profile, translation
 from lexispark.operators.correct import correct, typo_flags
 from lexispark.operators.similarity import similar_pairs
 
@@ -95,6 +96,35 @@ def test_translation(entries):
     assert found == [("e0", 1), ("e0", 5), ("e1", 2), ("e2", 2), ("e3", 4), ("e3", 5), ("e4", 5), ("e5", 3)]
 
 
+def test_duplicate_headword_conflict(entries):
+    rows = entries(("A", "x y"), ("a", "Other"), ("a", "x y"), ("b", "same"), ("b", "SAME"))
+    out = {r.entry_id: r for r in translation.gloss_conflicts(rows, "english").collect()}
+    assert set(out) == {"e0", "e1", "e2"} and {(r.issue_type, r.needs_web_check) for r in out.values()} == {("duplicate_headword", True)}
+    assert out["e0"].suggested_query == '"A" meaning English OR "A" definition'
+    assert out["e1"].note == "this gloss: Other; other glosses: x y (x2)" and out["e2"].note == "this gloss: x y; other glosses: x y; Other"
+
+
+def test_first_conflicts(entries):
+    r = random.Random(5)
+    make = lambda n: [(r.choice("abc"), r.choice(["X", "x.", "Y", "Z", "z "])) for _ in range(n)]
+    for n in (0, 1, 3, 30):
+        new, old = entries(*make(20)), entries(*make(n)) if n else entries(("a", "X")).limit(0)
+        every = crosscheck.conflicts(new, old, "l", "p").collect()
+        want = {x.entry_id: (*x, sum(y.entry_id == x.entry_id for y in every)) for x in every if x.k == 1}
+        assert {x.entry_id: tuple(x) for x in crosscheck.first_conflicts(new, old, "l", "p").collect()} == want
+
+
+def test_suggested_patterns():
+    refs = [{"marker": "see_also", "n": 2}, {"marker": "KS", "n": 1}, {"marker": "cf", "n": 0}]
+    both = {"split_mode": "hybrid", "dotted_markers": True, "cross_refs": refs}
+    assert conventions.suggest_split_pattern(both | {"split_mode": "line"}) is None and conventions.suggest_split_pattern({"split_mode": "marker"}) is None
+    found = re.compile(conventions.suggest_split_pattern(both))
+    assert [m.start() for m in found.finditer("a b •• c KS: d see_also e cf: f")] == [4, 9, 15]
+    assert conventions.suggest_entry_pattern({}) is None
+    entry = re.compile(conventions.suggest_entry_pattern({"dotted_markers": True, "has_hyphen": True}))
+    assert entry.match("a •• kata-kata hati").group("headword", "gloss") == ("kata-kata hat", "i")
+
+
 def test_homonyms(entries):
     rows = entries(("a", "big red house"), ("A", "big red barn"), ("b", "x"), ("b", "y"), ("colour", "q"), ("color", "q"))
     out = {(r.type, r.headword) for r in homonyms.analyze_homonyms(rows).collect()}
@@ -141,12 +171,13 @@ def test_zones(spark):
 
 def test_merge(entries):
     rows = entries(
-        ("a", "One", 0.5, "b1"), ("A", "one", 0.9, "b2"),
+        ("a", "One", 0.5, "b1", ["x1"]), ("A", "one", 0.9, "b2", ["y1"]),
         ("b", "first sense", 0.8, "b1", ["x"] * 7), ("b", "zweite", 0.6, "b2", ["y"] * 7), ("b", "third", 0.4, "b1"),
         ("c", "a long gloss here", 0.7), ("c", "a long gloss here.", 0.9), ("d", "only", 0.3),
     )
     out = {r.headword.lower(): r for r in merge.merge_books(rows).collect()}
-    assert (out["a"].how, out["a"].gloss_pivot, out["a"].source_book) == ("same", "one", "b1, b2")
+    assert (out["a"].how, out["a"].gloss_pivot, out["a"].source_book) == ("same", "one", "b1,b2")
+    assert out["a"].examples == ["y1"] and out["b"].examples == ["x"] * 7 + ["y"] * 3 and out["c"].examples == []
     assert out["b"].gloss_pivot == "(1) first sense; (2) third; (3) zweite" and out["b"].confidence == 0.6 and len(out["b"].examples) == 10
     assert (out["c"].how, out["c"].gloss_pivot, out["c"].confidence) == ("similar", "a long gloss here.", 0.9)
     assert (out["d"].how, out["d"].id) == ("single", "e7")
