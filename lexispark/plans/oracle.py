@@ -192,7 +192,7 @@ SELECT entry_id, headword, 'meaning_conflict' AS issue_type, 'prior corpus diffe
   '"' || headword || '" Invented language meaning ("' || prior || '" OR "' || gloss_pivot || '" in Bahasa Indonesia)' AS suggested_query, n FROM p""",
     "recurring_subs": f"""WITH {ENTRIES}, c AS (SELECT headword, replace(headword, 'e', 'c') AS candidate FROM entries WHERE NOT confidence >= 1)
 SELECT headword || ' -> ' || candidate AS subject, count(*) AS n, round(least(CAST(0.5 AS DOUBLE) + CAST(0.05 AS DOUBLE) * count(*), CAST(0.95 AS DOUBLE)), 6) AS confidence
-FROM c WHERE candidate <> headword AND contains(lower(candidate), 'h') GROUP BY 1 HAVING count(*) >= 3""",
+FROM c WHERE candidate <> headword AND translate(lower(candidate), 'abcdefgijklmnopqrstuvwxyz''-', '') <> '' GROUP BY 1 HAVING count(*) >= 3""",
     "page_clusters": f"WITH {FLAGS} SELECT concat_ws('#', book, page_number) AS subject, count(*) AS n, round(least(CAST(0.4 AS DOUBLE) + CAST(0.1 AS DOUBLE) * count(*), CAST(0.9 AS DOUBLE)), 6) AS confidence FROM new GROUP BY book, page_number HAVING count(*) >= 3",
     "issue_hotspot": f"""WITH {FLAGS}, t AS (SELECT issue_type, count(*) AS n, min((stage, book, page_number, idx, k)) AS f FROM new GROUP BY issue_type)
 SELECT issue_type AS subject, n, round(CAST(n AS DOUBLE) / (SELECT sum(n) FROM t), 2) AS confidence FROM t WHERE n >= 3 AND n * 2 >= (SELECT sum(n) FROM t) ORDER BY n DESC, f LIMIT 1""",
