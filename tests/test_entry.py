@@ -39,7 +39,7 @@ def test_works_without_the_llm_folders(tmp_path):
         "import sys, importlib.abc\n"
         "class Gone(importlib.abc.MetaPathFinder):\n"
         "    def find_spec(self, name, path, target=None):\n"
-        "        if name.startswith('lexispark.llm') or name == 'corpus_pipeline': raise ModuleNotFoundError(name)\n"
+        "        if name.startswith('lexispark.llm') or name == 'corpus_pipeline': raise ModuleNotFoundError(name, name=name)\n"
         "sys.meta_path.insert(0, Gone())\n"
         "import __spark_entry__ as e\n"
         "assert 'extract' in e.queries() and not any(n.startswith('op') or n == 'pipeline' for n in e.queries())\n"
