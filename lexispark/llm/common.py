@@ -5,10 +5,11 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,6 +75,25 @@ class Scratch:
         self.spark.sparkContext._jvm.System.gc()
 
 
+# ---------------------------------------------------------------- Python workers
+
+_KEPT: dict[tuple, object] = {}
+
+
+def remembered(key: tuple, make: Callable[[], object]):
+    """What a worker keeps from task to task, one thing at a time: that of another operator goes."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Frees what an earlier operator left in a reused worker."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+
+
 # ---------------------------------------------------------------- Arrow
 
 
@@ -98,6 +118,16 @@ def slices(offsets: np.ndarray, most: int = 4 << 20) -> Iterator[tuple[int, int]
         i = j
 
 
+def rows_of(batch: pa.RecordBatch, *names: str, most: int = 1 << 17) -> Iterator[list[tuple]]:
+    """Rows of list and plain columns as Python values, made for at most so many list items at a time, or one row."""
+    sizes = np.zeros(len(batch), np.int64)
+    for c in names:
+        if pa.types.is_list(batch.column(c).type):
+            sizes += pc.list_value_length(batch.column(c)).fill_null(0).to_numpy(zero_copy_only=False)
+    for i, j in slices(np.concatenate([[0], np.cumsum(sizes + 1)]), most):
+        yield list(zip(*(batch.column(c).slice(i, j - i).to_pylist() for c in names), strict=True))
+
+
 def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])

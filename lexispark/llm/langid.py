@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from lexispark.llm.common import slices, utf8
+from lexispark.llm.common import remembered, slices, utf8
 from lexispark.llm.sentencepiece import MODEL, Vocabulary
 
 SAMPLE, ALL_SAMPLES = 300, 6_000
@@ -264,9 +264,6 @@ def sample(docs: DataFrame, most: int = SAMPLE, in_all: int = ALL_SAMPLES) -> li
     return sorted((r["lang"], r["text"]) for r in rows)
 
 
-_SCORERS: dict[int, Scorer] = {}
-
-
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs -> the same columns, lang_pred, score and likely.  Clashing columns of those names are replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -276,10 +273,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     schema = StructType(kept + [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("likely", BooleanType())])
 
     def run(batches):
-        if id(shared.value) not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[id(shared.value)] = Scorer(shared.value)
-        scorer = _SCORERS[id(shared.value)]
+        scorer = remembered(("scorer", id(shared.value)), lambda: Scorer(shared.value))
         for batch in batches:
             _, offsets = utf8(batch.column(at))
             for i, j in slices(offsets, 1 << 20):

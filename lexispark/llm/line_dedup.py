@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lexispark.llm.common import _INV, WORD, Scratch, _power_tables, mix, slices, utf8
+from lexispark.llm.common import _INV, WORD, Scratch, _power_tables, forget, mix, rows_of, slices, utf8
 
 RARE_WORDS = 5
 
@@ -95,10 +95,6 @@ def grown(a: list[int], b: list[int], anchors: list[tuple[int, int]]) -> list[in
     return sorted(out)
 
 
-def _columns(batch, *names):
-    return zip(*(batch.column(c).to_pylist() for c in names), strict=True)
-
-
 def _aligned(least: int):
     def first_lines(lines, words):
         starts, _, h, n = windows(lines, words, least)
@@ -106,9 +102,10 @@ def _aligned(least: int):
         return [(starts[i], x) for i, x in _numbered_keys(h[:n].tolist())]
 
     def run(batches):
-        for batch in batches:
+        forget()
+        for rows in (r for batch in batches for r in rows_of(batch, "doc_id", "lines_a", "lines_b", "words_a", "words_b")):
             ids, gone = [], []
-            for doc, a, b, words_a, words_b in _columns(batch, "doc_id", "lines_a", "lines_b", "words_a", "words_b"):
+            for doc, a, b, words_a, words_b in rows:
                 places = {x: i for i, x in first_lines(a, words_a)}
                 ids.append(doc), gone.append(grown(a, b, [(places[x], j) for j, x in first_lines(b, words_b) if x in places]))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(gone, pa.list_(pa.int32()))], names=["doc_id", "gone"])
@@ -120,9 +117,10 @@ def _seeds(least: int, left: bool = False):
     """Seeds of each document; left: those with a line that isn't gone."""
 
     def run(batches):
-        for batch in batches:
+        forget()
+        for rows in (r for batch in batches for r in rows_of(batch, "doc_id", "lines", "words", *(["gone"] if left else []))):
             ids, found = [], []
-            for doc, lines, words, *gone in _columns(batch, "doc_id", "lines", "words", *(["gone"] if left else [])):
+            for doc, lines, words, *gone in rows:
                 s, e, h, _ = windows(lines, words, least)
                 if left:
                     stay = np.ones(len(lines), np.int64)
@@ -186,6 +184,7 @@ def _pairs_left(once: DataFrame, seeds: DataFrame, holders: DataFrame, pairs: Da
 
 def _without(text_at: int, names: list[str]):
     def run(batches):
+        forget()
         for batch in batches:
             _, offsets = utf8(batch.column(text_at))
             for i, j in slices(offsets):

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexispark.llm.common import Scratch, lists, mix, slices, span_hashes, utf8, words
+from lexispark.llm.common import Scratch, forget, lists, mix, slices, span_hashes, utf8, words
 from lexispark.llm.graph import components
 
 SHINGLE = 5
@@ -147,6 +147,7 @@ def apart(a: np.ndarray, b: np.ndarray) -> int:
 
 def _sizes(width: int):
     def run(batches):
+        forget()
         for batch in batches:
             for i, s, n in shingle_sets(batch.column(1), width):
                 yield pa.RecordBatch.from_arrays(
@@ -159,6 +160,7 @@ def _sizes(width: int):
 
 def _signed(width: int, percent: int):
     def run(batches):
+        forget()
         bands, seen = Bands(percent), set()
         for batch in batches:
             for _, s, n in shingle_sets(batch.column(0), width):
@@ -180,6 +182,7 @@ def _signed(width: int, percent: int):
 
 def _sets(width: int):
     def run(batches):
+        forget()
         for batch in batches:
             for _, s, n in shingle_sets(batch.column(0), width):
                 ends, some = np.cumsum(n), np.flatnonzero(n)
@@ -203,6 +206,7 @@ def _near(percent: int):
     """Which pairs sizes and sketches let reach the threshold."""
 
     def run(batches):
+        forget()
         for batch in batches:
             n, m = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
             ok = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
@@ -218,6 +222,7 @@ def _compared(percent: int, differences: bool):
     """Links of pairs of whole sets; differences: also b's size, the features that only one of the two has, and a sketch of b."""
 
     def run(batches):
+        forget()
         for batch in batches:
             ok, counts, parts, bits = np.zeros(len(batch), bool), np.zeros(len(batch), np.int64), [], []
             for k, (x, y) in enumerate(zip(_views(batch.column("items_a")), _views(batch.column("items_b")), strict=True)):

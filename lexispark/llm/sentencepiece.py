@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from lexispark.llm.common import lists, slices, utf8
+from lexispark.llm.common import lists, remembered, slices, utf8
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Stretches that a worker remembers; as many older ones are kept beside them.
@@ -199,17 +199,6 @@ def decode_bytes(ids: list[int], vocabulary: Vocabulary) -> bytes:
     return b"".join(map(vocabulary.spelled.__getitem__, ids))[1:]
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
-def _encoder(shared) -> Encoder:
-    """One for each worker, kept from task to task."""
-    if id(shared.value) not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[id(shared.value)] = Encoder(shared.value)
-    return _ENCODERS[id(shared.value)]
-
-
 def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model: str = MODEL, check_col: str | None = None) -> DataFrame:
     """Replaces the text by its ids; check_col: also says whether decoding gave the text back."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
@@ -218,7 +207,7 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "ids", model:
     schema = StructType(kept + [StructField(ids_col, ArrayType(IntegerType()))] + ([StructField(check_col, BooleanType())] if check_col else []))
 
     def run(batches):
-        encoder = _encoder(shared)
+        encoder = remembered(("encoder", id(shared.value)), lambda: Encoder(shared.value))
         for batch in batches:
             text = batch.column(len(kept))
             _, offsets = utf8(text)

@@ -5,7 +5,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lexispark.llm.common import Scratch, slices, span_hashes, utf8, words
+from lexispark.llm.common import Scratch, forget, remembered, rows_of, slices, span_hashes, utf8, words
 from lexispark.llm.graph import components
 
 
@@ -38,6 +38,23 @@ def test_slices():
     assert list(slices(offsets, 6)) == [(0, 2), (2, 3), (3, 5)] and list(slices(np.array([0]))) == []
 
 
+def test_rows_come_in_bounded_parts():
+    batch = pa.RecordBatch.from_pydict({"k": [1, 2, 3, 4, 5], "a": [[1] * 9, None, [], [2, 3], [4]], "b": [[1], [2], [3], [4, 5], [6]]})
+    parts = list(rows_of(batch, "k", "a", "b", most=5))
+    assert [[r[0] for r in p] for p in parts] == [[1], [2, 3], [4], [5]]
+    assert [r for p in parts for r in p] == [tuple(x.values()) for x in batch.to_pylist()]
+    assert list(rows_of(batch.slice(3), "k", "a")) == [[(4, [2, 3]), (5, [4])]] and list(rows_of(batch.slice(5), "k", "a")) == []
+
+
+def test_a_worker_keeps_one_thing():
+    a = remembered(("a", 1), lambda: ["a"])
+    assert remembered(("a", 1), list) is a and remembered(("b", 1), lambda: "b") == "b"
+    assert remembered(("a", 1), lambda: "new") == "new"
+    forget()
+    assert remembered(("a", 1), lambda: "again") == "again"
+    forget()
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     frame = spark.createDataFrame(edges, "a long, b long")
