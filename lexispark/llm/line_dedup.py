@@ -151,20 +151,22 @@ def _numbered(rows: DataFrame, scratch: Scratch) -> DataFrame:
 
 def _pairs_left(once: DataFrame, seeds: DataFrame, holders: DataFrame, pairs: DataFrame, align, least: int, scratch: Scratch) -> list[DataFrame]:
     """What goes from each document, by the pairs of first holders and then by those that the lines left still need."""
-    out, tried = [align(pairs)], pairs
+    out, tried = [align(pairs, once)], pairs
 
-    def left(docs):
+    def left(docs, of):
         gone = out[0]
         for x in out[1:]:
             gone = gone.unionByName(x)
         gone = gone.join(docs, "doc_id", "left_semi").groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
-        return once.join(gone, "doc_id").select("doc_id", "lines", "words", "gone").mapInArrow(_seeds(least, True), "doc_id long, h long")
+        return of.join(gone, "doc_id").select("doc_id", "lines", "words", "gone").mapInArrow(_seeds(least, True), "doc_id long, h long")
 
-    now = left(pairs.select(F.col("doc_b").alias("doc_id")).distinct())
+    now = left(pairs.select(F.col("doc_b").alias("doc_id")).distinct(), once)
     now = scratch.table(now.join(holders, "h").where("first < doc_id").select("doc_id", "h"))
     if now.isEmpty():
         return out
     order = scratch.table(_numbered(seeds.join(now.select("h").distinct(), "h", "left_semi"), scratch))
+    # The rounds only read documents with a seed that is left somewhere.
+    live = scratch.table(once.join(order.select("doc_id").distinct(), "doc_id", "left_semi"))
     starts = order.groupBy("h").agg(F.min("n").alias("start"))
     # The row at start is the first holder, which has been tried.
     now = scratch.table(now.join(order, ["doc_id", "h"]).join(starts, "h").where("n - start > 1"))
@@ -175,10 +177,10 @@ def _pairs_left(once: DataFrame, seeds: DataFrame, holders: DataFrame, pairs: Da
         more = wanted.join(order.select("n", F.col("doc_id").alias("doc_a")), "n").select("doc_a", "doc_b").distinct()
         more = scratch.table(more.join(tried, ["doc_a", "doc_b"], "left_anti"))
         tried = tried.unionByName(more)
-        out.append(align(more))
+        out.append(align(more, live))
         nearest *= 2
         rest = now.where(F.col("n") - nearest > F.col("start"))
-        now = scratch.table(rest.join(left(rest.select("doc_id").distinct()), ["doc_id", "h"], "left_semi"))
+        now = scratch.table(rest.join(left(rest.select("doc_id").distinct(), live), ["doc_id", "h"], "left_semi"))
     return out
 
 
@@ -232,10 +234,10 @@ def line_dedup(
         seeds.join(holders, "h").where("doc_id > first").select(F.col("first").alias("doc_a"), F.col("doc_id").alias("doc_b")).distinct()
     )
 
-    def align(pairs):
+    def align(pairs, of):
         both = (
-            pairs.join(once.select(F.col("doc_id").alias("doc_a"), F.col("lines").alias("lines_a"), F.col("words").alias("words_a")), "doc_a")
-            .join(once.select(F.col("doc_id").alias("doc_b"), F.col("lines").alias("lines_b"), F.col("words").alias("words_b")), "doc_b")
+            pairs.join(of.select(F.col("doc_id").alias("doc_a"), F.col("lines").alias("lines_a"), F.col("words").alias("words_a")), "doc_a")
+            .join(of.select(F.col("doc_id").alias("doc_b"), F.col("lines").alias("lines_b"), F.col("words").alias("words_b")), "doc_b")
             .select(F.col("doc_b").alias("doc_id"), "lines_a", "lines_b", "words_a", "words_b")
         )
         return scratch.table(both.mapInArrow(_aligned(rare_words), "doc_id long, gone array<int>").where("size(gone) > 0"))
