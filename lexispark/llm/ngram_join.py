@@ -378,6 +378,7 @@ def ngram_join(
     shared = signed.join(ends.where("_low <> _high").select("sig").hint("shuffle_hash"), "sig")
     shared = scratch.table(shared.select(F.col("sig").alias("g"), "set_id").distinct())
     weight = scratch.table(shared.groupBy("set_id").agg(F.count("*").alias("weight")))
+    scratch.drop()  # the shuffle of all signatures
     sets = _load(docs, classes.join(weight, "set_id"), width, scratch)
     star = scratch.table(_stars(shared, weight).select(F.col("centre").alias("a"), F.col("set_id").alias("b")))
     near = _joined(star, sets, "n", "sketch").mapInArrow(_near(threshold), "a long, b long, near boolean").where("near").select("a", "b")
