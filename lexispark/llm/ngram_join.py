@@ -9,8 +9,11 @@ one equal signature, so such sets have 2 n - k > 4 m equal signatures at least.
 the least content, which would meet by chance; so one equal signature always remains.  Every set gets the signatures of
 its own band and of the next one.
 
-Sets that share a signature are candidates.  They aren't paired within a group: a group's members are checked with one
-centre, and groups whose members are then connected are done.  From the others go the sets whose features other components
+Sets that share a signature are candidates.  Many meet by chance, and the more the larger the table, so sets go first that
+have too many features of their own among those with an even hash: a link leaves 1 - t of a set's features to it alone, of
+whichever features one looks at (see `_load`).  Candidates aren't paired within a group: a group's members are checked with one
+centre, which needs no more, and groups whose other members are then connected are done, such as all of two sets.  From
+the others go the sets whose features other components
 don't have (see `_bounded`); what is left is paired by rare features in which sets differ from their centre (see `_rest`).
 Checks compare whole sets; only a parity sketch (the bits in which two sketches differ are never more than the features in
 which the sets do) may rule out a pair before.  So every pair that links is either checked or inside one component already.
@@ -180,6 +183,24 @@ def _signed(width: int, percent: int):
     return run
 
 
+def _named(width: int):
+    """Texts with their sets' names and sizes, and the features with an even hash."""
+
+    def run(batches):
+        forget()
+        for batch in batches:
+            for i, s, n in shingle_sets(batch.column(0), width):
+                even = (s & np.uint64(1)) == 0
+                row = np.repeat(np.arange(len(n)), n)[even]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(set_ids(s, n)), pa.array(n, pa.int64()), batch.column(0).slice(i, len(n)),
+                     lists(s[even].view(np.int64), np.bincount(row, minlength=len(n)), pa.int64())],
+                    names=["set_id", "n", "text", "even"],
+                )
+
+    return run
+
+
 def _sets(width: int):
     def run(batches):
         forget()
@@ -288,10 +309,12 @@ def _bounded(rows: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -
         rows = new
 
 
-def _stars(rows: DataFrame, weight: DataFrame) -> DataFrame:
-    """(centre, set_id) of all but the centre of each group g: the member of the largest weight(set_id, weight), then id."""
-    centre = rows.join(weight, "set_id").groupBy("g").agg(F.max(F.struct("weight", "set_id")).alias("_c"))
-    return rows.join(centre.select("g", F.col("_c.set_id").alias("centre")), "g").where("centre <> set_id").select("centre", "set_id").distinct()
+def _centred(rows: DataFrame, weight: DataFrame) -> DataFrame:
+    """(g, set_id, centre, members) of all but the centre of each group g: the member of the largest weight(set_id, weight),
+    then id; members counts it too."""
+    centre = rows.join(weight, "set_id").groupBy("g").agg(F.max(F.struct("weight", "set_id")).alias("_c"), F.count("*").alias("members"))
+    centre = centre.select("g", F.col("_c.set_id").alias("centre"), "members")
+    return rows.join(centre, "g").where("centre <> set_id").select("g", "set_id", "centre", "members")
 
 
 def _rest(rows: DataFrame, weight: DataFrame, sets: DataFrame, label: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -305,7 +328,7 @@ def _rest(rows: DataFrame, weight: DataFrame, sets: DataFrame, label: DataFrame,
     partner asks for: far sets for the others, all for far sets.  Pairs that meet in one of these features and may link by
     E, q, sizes and a parity sketch are checked.
     """
-    star = scratch.table(_stars(rows, weight))
+    star = scratch.table(_centred(rows, weight).select("centre", "set_id").distinct())
     found = _joined(star.select(F.col("centre").alias("a"), F.col("set_id").alias("b")), sets, "n", "items")
     found = scratch.table(found.mapInArrow(_compared(percent, True), "g long, set_id long, n long, linked boolean, delta array<long>, small array<long>"))
     label = _linked(label, found.where("linked").select(F.col("g").alias("a"), F.col("set_id").alias("b")), scratch)
@@ -379,16 +402,21 @@ def ngram_join(
     shared = scratch.table(shared.select(F.col("sig").alias("g"), "set_id").distinct())
     weight = scratch.table(shared.groupBy("set_id").agg(F.count("*").alias("weight")))
     scratch.drop()  # the shuffle of all signatures
-    sets = _load(docs, classes.join(weight, "set_id"), width, scratch)
-    star = scratch.table(_stars(shared, weight).select(F.col("centre").alias("a"), F.col("set_id").alias("b")))
+    sets = _load(docs, classes.join(weight, "set_id"), width, threshold, scratch)
+    able = scratch.table(shared.join(sets.select("set_id"), "set_id", "left_semi").select("g", "set_id"))
+    scratch.drop(shared)
+    others = scratch.table(_centred(able, weight))
+    scratch.drop(able)
+    star = scratch.table(others.select(F.col("centre").alias("a"), F.col("set_id").alias("b")).distinct())
     near = _joined(star, sets, "n", "sketch").mapInArrow(_near(threshold), "a long, b long, near boolean").where("near").select("a", "b")
     near = scratch.table(near)
     scratch.drop(star)
     checked = _joined(near, sets, "items").mapInArrow(_compared(threshold, False), "a long, b long, linked boolean")
     checked = scratch.table(checked.where("linked").select("a", "b"))
     label = components(spark, checked, scratch)
-    rows = scratch.table(_open(shared, label))
-    scratch.drop(shared, near)
+    # The centre was compared with all of its group, so only the other members may hold pairs that are still open.
+    rows = scratch.table(_open(others.where("members > 2").select("g", "set_id"), label))
+    scratch.drop(others, near)
     if not rows.isEmpty():
         rows = _bounded(rows, sets, threshold, scratch)
         label = _rest(rows, weight, sets, label, threshold, scratch)
@@ -401,9 +429,22 @@ def ngram_join(
     )
 
 
-def _load(docs: DataFrame, classes: DataFrame, width: int, scratch: Scratch) -> DataFrame:
-    """The whole sets of classes(set_id, least), one row each; a set is known by its own shingles, whatever its row's id."""
+def _load(docs: DataFrame, classes: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
+    """The whole sets of classes(set_id, least) that may link with another, one row each; a set is known by its own
+    shingles, whatever its row's id.
+
+    A set that links has at most 100 - percent of 100 features that its partner lacks, so it has no more than that which no
+    other set here has.  Counting only features with an even hash finds fewer of these and so keeps all such sets.
+    """
     ids = classes.select(F.col("least").alias("_id")).distinct()
     texts = docs.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").select("text")
-    made = texts.mapInArrow(_sets(width), "set_id long, n long, items array<long>, sketch array<long>")
-    return scratch.table(made.join(classes.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"]))
+    named = scratch.table(texts.mapInArrow(_named(width), "set_id long, n long, text string, even array<long>"))
+    scratch.drop()  # the shuffle of all texts
+    held = named.select("set_id", "n", F.explode("even").alias("item")).groupBy("item").agg(F.count("*").alias("_often"), F.min(F.struct("set_id", "n")).alias("_of"))
+    own = held.where("_often = 1").groupBy(F.col("_of.set_id").alias("set_id"), F.col("_of.n").alias("n")).agg(F.count("*").alias("_own"))
+    alone = scratch.table(own.where(100 * F.col("_own") > (100 - percent) * F.col("n")).select("set_id"))
+    able = classes.select("set_id").join(alone, "set_id", "left_anti")
+    able = named.join(able, "set_id", "left_semi").dropDuplicates(["set_id"]).select("text")
+    sets = scratch.table(able.mapInArrow(_sets(width), "set_id long, n long, items array<long>, sketch array<long>"))
+    scratch.drop(named, alone)
+    return sets

@@ -2,9 +2,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from lexispark.llm.ngram_join import Bands, ngram_join, signatures
+from lexispark.llm import ngram_join as ngram_module
+from lexispark.llm.common import Scratch
+from lexispark.llm.ngram_join import Bands, _load, ngram_join, set_ids, shingle_sets, signatures
 
 
 def shingles(text, width):
@@ -99,3 +102,41 @@ def test_rows_with_one_id_and_without(spark, docs):
     out = ngram_join(docs(rows), 85, 4).collect()
     found = sorted((x.doc_id or 0, x.component_id or 0) for x in out)
     assert found == [(0, 0), (0, 0), (0, 9), (5, 5), (5, 5), (7, 5), (8, 5), (9, 9)]
+
+
+def hashed(text, width):
+    return next(shingle_sets(pa.array([text]), width))[1]
+
+
+def test_sets_alone_are_not_loaded(spark, docs):
+    """Sets that meet by one signature but have most features to themselves don't go on; those that may link do."""
+    r = random.Random(7)
+    base, other = ([f"w{r.randrange(9999)}" for _ in range(200)] for _ in range(2))
+    near = [*base[:190], *(f"x{i}" for i in range(10))]
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(other))]
+    scratch = Scratch(spark, "test")
+    ids = {i: int(set_ids(h, np.array([len(h)]))[0]) for i, t in rows for h in [hashed(t, 4)]}
+    classes = spark.createDataFrame([(s, i) for i, s in ids.items()], "set_id long, least long")
+    loaded = _load(docs(rows).select("doc_id", "text"), classes, 4, 85, scratch)
+    assert {x.set_id for x in loaded.collect()} == {ids[1], ids[2]}
+    scratch.close()
+
+
+def test_compared_pairs_are_done(spark, docs, monkeypatch):
+    """Two sets that share a signature and don't link were compared, so nothing is left to refine."""
+    r = random.Random(9)
+    bands = Bands(85)
+    base = [f"w{r.randrange(9999)}" for _ in range(200)]
+    for cut in range(12, 40):
+        pair = [" ".join(base), " ".join([*base[:-cut], *(f"x{i}" for i in range(cut))])]
+        one, two = (shingles(t, 4) for t in pair)
+        met = set(signatures(hashed(pair[0], 4), bands).tolist()) & set(signatures(hashed(pair[1], 4), bands).tolist())
+        if 100 * len(one & two) < 85 * len(one | two) and met:
+            break
+    else:
+        pytest.fail("no such pair")
+    called = []
+    monkeypatch.setattr(ngram_module, "_bounded", lambda rows, *rest: called.append(1) or rows)
+    out = ngram_join(docs(list(enumerate(pair))), 85, 4).collect()
+    assert sorted((x.doc_id, x.component_id) for x in out) == [(0, 0), (1, 1)]
+    assert not called
